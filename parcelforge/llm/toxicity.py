@@ -22,7 +22,7 @@ WIDTH, STRIDE = 32, 16
 BUCKETS, DIM, HIDDEN, ATTENTION = 1 << 15, 8, 8, 8
 #: Bound of the training sample: labelled rows of each class (those with the least hash of the id) and their longest text.
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 2000, 65_536
-EPOCHS, LEAST_STEPS, BATCH, RATE = 6, 600, 32, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE = 6, 300, 32, 0.01
 GRAMS = (3, 4, 5)
 
 
@@ -224,12 +224,14 @@ def train(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
     rest = order[len(order) // 2 :]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step, epochs = 0, max(EPOCHS, -(-LEAST_STEPS * BATCH // len(rest)))
+    batches = []
+    for at in range(0, len(rest), BATCH):
+        pick = rest[at : at + BATCH]
+        words = Words(*_layout([texts[i] for i in pick]))
+        batches.append((pick, words, *words.windows()))
     for epoch in range(epochs):
-        rng.shuffle(rest)
-        for at in range(0, len(rest), BATCH):
-            pick = rest[at : at + BATCH]
-            words = Words(*_layout([texts[i] for i in pick]))
-            ids, first = words.windows()
+        rng.shuffle(batches)
+        for pick, words, ids, first in batches:
             table = net.inputs(words)
             if epoch == 0:  # where the odds point, before the network can tell
                 odds = np.append(table[:, 0] + table[:, DIM], 0.0)
