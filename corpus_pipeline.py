@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelforge.llm import exactdup, neardup, packing, repeats, toxicity
-from parcelforge.llm.spill import drop_table, write_table
+from parcelforge.llm.spill import bounded_batches, drop_table, write_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores below 0.5, trained on the labels outside the held-out fifth."""
+    bounded_batches(spark)
     network = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.select(*COLUMNS), network, score_col="_toxicity")
     return scored.where("_toxicity < 0.5").select(*COLUMNS)
@@ -22,18 +23,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the document with the largest id."""
+    bounded_batches(spark)
     gone = exactdup.deduplicate(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group linked by five-word shingles at similarity 0.8 or more."""
+    bounded_batches(spark)
     gone = neardup.near_duplicates(docs, shingle=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 or more words that also stand in a document with a smaller id."""
+    bounded_batches(spark)
     cut = repeats.deduplicate(docs, with_text=True, carry=["lang", "source"])
     return cut.select(
         "doc_id", F.col("kept_text").alias("text"), F.col("_carry.lang").alias("lang"), F.col("_carry.source").alias("source"),

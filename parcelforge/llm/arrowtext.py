@@ -49,7 +49,7 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into runs of whole rows of about ``limit`` text bytes: (rows, bytes, offsets)."""
     if batch.num_rows == 0:
         return
@@ -78,7 +78,7 @@ def segment(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[n
 def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         out = []
         for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             row = np.full(size, base, dtype=np.uint64)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelforge.llm import bytebpe, chat, exactdup, licences, neardup, packing, repeats, simhash, tokencount, toxicity
+from parcelforge.llm.spill import bounded_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

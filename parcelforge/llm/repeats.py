@@ -111,17 +111,28 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
                 marks = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.array([len(x) for x in lists], dtype=np.int64)
                 doc = np.repeat(np.arange(rows.num_rows), sizes)
-                begin, end = first[doc], first[doc + 1]
-                reach = np.zeros(len(starts) + 1, dtype=np.int64)  # starts of blocks near a mark
-                low = np.maximum(begin + marks - (window - SCREEN), begin)
-                high = np.minimum(begin + marks + block, end - block) + 1
-                np.add.at(reach, low, 1)
-                np.add.at(reach, np.maximum(high, low), -1)
+                begin = first[doc]
+                # a window may be repeated only if its own choice, the least of its screen runs, is shared
+                grams = gram_hashes(one, SCREEN)
+                if len(grams) < window - SCREEN + 1:
+                    continue
+                doc_end = np.repeat(first[1:], np.diff(first))
+                grams = np.where(np.arange(len(grams)) + SCREEN <= doc_end[: len(grams)], grams, _FULL)
+                shared = np.full(len(grams), _FULL)
+                shared[begin + marks] = grams[begin + marks]
+                low = sliding(grams, window - SCREEN + 1, np.minimum)
+                may = (low == sliding(shared, window - SCREEN + 1, np.minimum)) & (np.arange(len(low)) + window <= doc_end[: len(low)])
+                spots = np.flatnonzero(may)
+                reach = np.zeros(len(starts) + 1, dtype=np.int64)  # blocks inside such windows
+                np.add.at(reach, spots, 1)
+                np.add.at(reach, spots + block + 1, -1)
                 at = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
-                doc = np.searchsorted(first, at, side="right") - 1
-                room = at + window <= first[doc + 1]
                 if not len(at):
                     continue
+                doc = np.searchsorted(first, at, side="right") - 1
+                room = np.zeros(len(at), dtype=bool)
+                inner = at < len(may)
+                room[inner] = may[at[inner]]
                 full = np.where(room, at, 0)
                 yield pa.RecordBatch.from_arrays(
                     [

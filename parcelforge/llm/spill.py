@@ -24,11 +24,20 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files go once the driver has collected the plans that made them; an early collection bounds the disk in use.
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._parcelforge_path = path
     return out
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most so many rows in one batch between the JVM and Python, unless the session asks for fewer: bounds the workers' memory with long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table made by ``write_table`` that nothing will read again."""
     path = getattr(df, "_parcelforge_path", None)
