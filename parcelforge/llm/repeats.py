@@ -101,69 +101,86 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
     shared = choices.groupBy("choice").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("choice")
     places = choices.join(shared, "choice").groupBy("_id", "_t").agg(F.collect_list("place").alias("places"))
 
+    def candidates(one: np.ndarray, first: np.ndarray, marks: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Per word: may the window that starts there be repeated?  Only if its own choice, the least of its screen runs, is shared."""
+        grams = gram_hashes(one, SCREEN)
+        if len(grams) < window - SCREEN + 1:
+            return np.zeros(0, dtype=bool)
+        doc_end = np.repeat(first[1:], np.diff(first))
+        grams = np.where(np.arange(len(grams)) + SCREEN <= doc_end[: len(grams)], grams, _FULL)
+        shared = np.full(len(grams), _FULL)
+        spots = first[doc] + marks
+        shared[spots] = grams[spots]
+        low = sliding(grams, window - SCREEN + 1, np.minimum)
+        equal = low == sliding(shared, window - SCREEN + 1, np.minimum)
+        return equal & (np.arange(len(low)) + window <= doc_end[: len(low)])
+
+    def marked(rows: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = rows.column(name)
+        sizes = np.array([len(x) if x.is_valid else 0 for x in lists], dtype=np.int64)
+        return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(rows.num_rows), sizes)
+
+    def spread(at: np.ndarray, before: int, after: int, size: int) -> np.ndarray:
+        """Mask of all places from ``before`` before to ``after`` after some place in ``at``."""
+        reach = np.zeros(size + 1, dtype=np.int64)
+        np.add.at(reach, np.maximum(at - before, 0), 1)
+        np.add.at(reach, np.minimum(at + after + 1, size), -1)
+        return np.cumsum(reach[:-1]) > 0
+
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "_text"):
                 starts, ends, first = segment(data, offsets, WORD)
-                one, two = word_hashes(data, starts, ends, 0), word_hashes(data, starts, ends, 1)
-                blocks, left, right = gram_hashes(one, block), gram_hashes(one, window), gram_hashes(two, window, 1)
-                lists = rows.column(3)
-                marks = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = np.array([len(x) for x in lists], dtype=np.int64)
-                doc = np.repeat(np.arange(rows.num_rows), sizes)
-                begin = first[doc]
-                # a window may be repeated only if its own choice, the least of its screen runs, is shared
-                grams = gram_hashes(one, SCREEN)
-                if len(grams) < window - SCREEN + 1:
+                one = word_hashes(data, starts, ends, 0)
+                may = np.flatnonzero(candidates(one, first, *marked(rows, "places")))
+                if not len(may):
                     continue
-                doc_end = np.repeat(first[1:], np.diff(first))
-                grams = np.where(np.arange(len(grams)) + SCREEN <= doc_end[: len(grams)], grams, _FULL)
-                shared = np.full(len(grams), _FULL)
-                shared[begin + marks] = grams[begin + marks]
-                low = sliding(grams, window - SCREEN + 1, np.minimum)
-                may = (low == sliding(shared, window - SCREEN + 1, np.minimum)) & (np.arange(len(low)) + window <= doc_end[: len(low)])
-                spots = np.flatnonzero(may)
-                reach = np.zeros(len(starts) + 1, dtype=np.int64)  # blocks inside such windows
-                np.add.at(reach, spots, 1)
-                np.add.at(reach, spots + block + 1, -1)
-                at = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
-                if not len(at):
+                at = np.flatnonzero(spread(may, 0, window - block, len(starts)))  # the blocks inside such windows
+                doc = np.searchsorted(first, at, side="right") - 1
+                value = (gram_hashes(one, block)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(pa.array(doc)), pa.array((at - first[doc]).astype(np.int32)), pa.array(value)], names=["_id", "place", "block"]
+                )
+
+    def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in slices(batch, "_text"):
+                starts, ends, first = segment(data, offsets, WORD)
+                one, two = word_hashes(data, starts, ends, 0), word_hashes(data, starts, ends, 1)
+                may = candidates(one, first, *marked(rows, "places"))
+                hits, doc = marked(rows, "hits")
+                at = first[doc] + hits
+                at = at[at < first[doc + 1]]
+                if not len(at) or not len(may):
                     continue
+                at = np.flatnonzero(may & spread(at, window - block, 0, len(starts))[: len(may)])
                 doc = np.searchsorted(first, at, side="right") - 1
-                room = np.zeros(len(at), dtype=bool)
-                inner = at < len(may)
-                room[inner] = may[at[inner]]
-                full = np.where(room, at, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0).take(pa.array(doc)),
                         rows.column(1).take(pa.array(doc)),
                         pa.array((at - first[doc]).astype(np.int32)),
-                        pa.array(blocks[at].view(np.int64)),
-                        pa.array(left[full].view(np.int64) if len(left) else np.zeros(len(at), np.int64), mask=~room),
-                        pa.array(right[full].view(np.int64) if len(right) else np.zeros(len(at), np.int64), mask=~room),
+                        pa.array(gram_hashes(one, window)[at].view(np.int64)),
+                        pa.array(gram_hashes(two, window, 1)[at].view(np.int64)),
                     ],
-                    names=["_id", "_t", "place", "block", "run_a", "run_b"],
+                    names=["_id", "_t", "place", "run_a", "run_b"],
                 )
 
+    places = write_table(places, "op8-places")
     near = keyed.join(places, ["_id", "_t"]).select("_id", "_t", "_text", "places")
-    rolling = write_table(
-        near.mapInArrow(probe, f"_id {kind}, _t bigint, place int, block bigint, run_a bigint, run_b bigint"), "op8-probes"
-    )
+    # 32 bits of a block's hash do for a probe: a false hit costs one window more, whose 128-bit hash decides
+    rolling = write_table(near.select("_id", "_text", "places").mapInArrow(probe, f"_id {kind}, place int, block int"), "op8-probes")
+    drop_table(choices)
     anchors = (
         rolling.groupBy("block")
         .agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.max(F.col("place") % block == 0).alias("anchored"))
         .where("low < high and anchored")
-        .select("block", F.lit(1).alias("hit"))
-    )
-    ahead = Window.partitionBy("_id", "_t").orderBy("place").rangeBetween(0, window - block)
-    extended = write_table(
-        rolling.join(anchors, "block", "left")
-        .withColumn("hits", F.max("hit").over(ahead))
-        .where("hits = 1 and run_a is not null")
-        .select("_id", "_t", "place", "run_a", "run_b"),
-        "op8-runs",
+        .select("block")
     )
+    hits = write_table(rolling.join(anchors, "block").groupBy("_id").agg(F.collect_list("place").alias("hits")), "op8-hits")
+    drop_table(rolling)
+    near = keyed.join(places.join(hits, "_id"), ["_id", "_t"]).select("_id", "_t", "_text", "places", "hits")
+    extended = write_table(near.mapInArrow(extend, f"_id {kind}, _t bigint, place int, run_a bigint, run_b bigint"), "op8-runs")
     firsts = extended.groupBy("run_a", "run_b").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high")
     found = extended.join(firsts, ["run_a", "run_b"]).where("_id > low").groupBy("_id", "_t").agg(F.collect_list("place").alias("starts"))
     out = write_table(
@@ -172,7 +189,7 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
         ),
         "op8-found",
     )
-    for table in (choices, rolling, extended, copies):
+    for table in (places, hits, extended, copies):
         drop_table(table)
     return out
 
