@@ -33,7 +33,9 @@ BASE = 1.02
 #: Pairs whose estimate lies this far below the threshold (over six standard errors) are not verified.
 SLACK = 0.18
 #: Cross-group pairs per band row up to which buckets are expanded exhaustively.
-EXPAND = 2.0
+EXPAND = 0.25
+#: Hub rounds go on while a round lowers that number to this share, or this many times at least.
+SHRINK, HUB_ROUNDS = 0.9, 3
 
 _rng = np.random.default_rng(7)
 _MUL = (_rng.integers(0, 2**31, size=REGISTERS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -221,9 +223,15 @@ def near_duplicates(
         classes.select("n", "set_a", "set_b", F.col("rep").alias("id")), ["n", "set_a", "set_b", "id"], "left_semi"
     ).dropDuplicates(["id", "set_a", "set_b"])
     heads = write_table(heads.select("id", "n", "regs", "bands"), "op2-heads")
-    bands = heads.select("id", F.explode("bands").alias("key"))
-    buckets = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("most")).where("hub < most").select("key", "hub")
-    met = write_table(bands.join(buckets, "key").select("key", "id", "hub"), "op2-met")
+    bands = heads.select("id", "n", F.explode("bands").alias("key"))
+    buckets = bands.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("members"))
+    met = write_table(bands.join(buckets.where("least < most"), "key").select("key", "id", "n", "members"), "op2-met")
+    # the hub is the member that meets most others over all its buckets: the one the others are copies of, if it is there
+    fame = met.groupBy("id").agg(F.sum("members").alias("fame"))
+    famed = write_table(met.join(fame, "id").select("key", "id", "n", "fame"), "op2-met")
+    drop_table(met)
+    met = famed
+    hubs = met.groupBy("key").agg(F.min(F.struct((-F.col("fame")).alias("fame"), "id", "n")).alias("h"))
     sets = write_table(
         _shingle_sets(documents, met.select("id").distinct(), shingle=shingle, id_col=id_col, text_col=text_col), "op2-sets"
     )
@@ -244,16 +252,16 @@ def near_duplicates(
     def ordered(one: str, two: str) -> list:
         return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
-    tried = write_table(met.where("id <> hub").select(*ordered("id", "hub")).distinct(), "op2-tried")
+    close = f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)"  # no link without it
+    tried = write_table(met.join(hubs, "key").where(f"id <> h.id and {close}").select(*ordered("id", "h.id")).distinct(), "op2-tried")
     links = write_table(verified(tried), "op2-links")
-    n_rows, before = None, None
-    turn = 0
+    turn, before = 0, 0.0
     while True:
         turn += 1
         labels = write_table(components(links), "op2-labels")
         marked = (
             met.join(labels.withColumnRenamed("node", "id"), "id", "left")
-            .select("key", "id", F.coalesce("component", "id").alias("label"))
+            .select("key", "id", "n", F.coalesce("component", "id").alias("label"))
         )
         mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
         open_rows = write_table(marked.join(mixed, "key"), "op2-open")
@@ -263,13 +271,18 @@ def near_duplicates(
         cross, n_rows = float(row["pairs"] or 0), float(row["rows"] or 0)
         if not cross:
             break
-        last = cross <= EXPAND * n_rows + 10_000 or (before is not None and cross > 0.9 * before)
+        last = cross <= EXPAND * n_rows + 10_000 or (turn > HUB_ROUNDS and cross > SHRINK * before)
         if last:
-            other = open_rows.select("key", F.col("id").alias("id2"), F.col("label").alias("label2"))
-            pairs = open_rows.join(other, "key").where("label < label2").select(*ordered("id", "id2"))
+            other = open_rows.select("key", F.struct("id", "n", "label").alias("h"))
+            pairs = open_rows.join(other, "key").where(f"label < h.label and {close}").select(*ordered("id", "h.id"))
         else:
-            hub = open_rows.groupBy("key").agg(F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(turn))).alias("h"))
-            pairs = open_rows.join(hub, "key").where("label <> h.label").select(*ordered("id", "h.id"))
+            # another hub in each bucket: any member of the label that has most rows there
+            sizes = open_rows.groupBy("key", "label").agg(
+                F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("o"), "id", "n")).alias("m")
+            )
+            hub = sizes.groupBy("key").agg(F.max(F.struct("k", "label", "m")).alias("x"))
+            hub = hub.select("key", F.struct(F.col("x.m.id").alias("id"), F.col("x.m.n").alias("n"), F.col("x.label").alias("label")).alias("h"))
+            pairs = open_rows.join(hub, "key").where(f"label <> h.label and {close}").select(*ordered("id", "h.id"))
         fresh = write_table(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "op2-tried")
         more = write_table(verified(fresh), "op2-links")
         grown = write_table(links.unionByName(more), "op2-links")
