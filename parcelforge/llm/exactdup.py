@@ -145,8 +145,8 @@ def deduplicate(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
     repeated = write_table(
         across.unionByName(grouped.where("n > 1").select("digest")).distinct(), "op6-repeated"
     )
-    # Byte checks: texts of repeated digests only, grouped by their bytes.
-    same = digests(documents, id_col=id_col, text_col=text_col, with_text=True).join(repeated, "digest")
+    # Byte checks: texts of repeated digests only, grouped by their bytes; one join strategy at every size.
+    same = digests(documents, id_col=id_col, text_col=text_col, with_text=True).join(repeated.hint("merge"), "digest")
     same = write_table(same.groupBy("digest", "norm", "id").agg(F.count(F.lit(1)).alias("k")), "op6-same")
     classes = same.groupBy("digest", "norm").agg(F.max("id").alias("keep_id"), F.sum("k").alias("group_size"))
     split = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
