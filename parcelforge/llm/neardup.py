@@ -7,9 +7,10 @@ Jaccard similarity.  Bands of register values propose partners, a joint
 likelihood over the registers drops hopeless ones, and the full shingle sets
 confirm each link.  Links become groups by connected components.
 
-No bucket is expanded into all its pairs at first: its members are compared with
-one hub, and after the groups so found are known, only members of *different*
-groups are compared, with new hubs while that is many pairs, and then exhaustively.
+No bucket is expanded into its pairs.  Its members are compared with one hub, the
+member that meets most others.  The members of buckets that still hold several
+groups are then joined on their rarest shingles, which every linked pair shares
+(the prefix filter of set-similarity joins), and only across groups.
 """
 
 from __future__ import annotations
@@ -32,10 +33,6 @@ REGISTERS = BANDS * ROWS
 BASE = 1.02
 #: Pairs whose estimate lies this far below the threshold (over six standard errors) are not verified.
 SLACK = 0.18
-#: Cross-group pairs per band row up to which buckets are expanded exhaustively.
-EXPAND = 0.25
-#: Hub rounds go on while a round lowers that number to this share, or this many times at least.
-SHRINK, HUB_ROUNDS = 0.9, 3
 
 _rng = np.random.default_rng(7)
 _MUL = (_rng.integers(0, 2**31, size=REGISTERS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -194,6 +191,28 @@ def _likely(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _rare_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that can reach the threshold, from (id, n, label, shingles).
+
+    Two sets of similarity t share one of the n - ceil(t n) + 1 shingles that come
+    first in each under any common order; with the rarest first, few sets do.
+    """
+    tokens = write_table(rows.select("id", "n", "label", F.explode("shingles").alias("token")), "op2-tokens")
+    count = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tokens.join(count, "token").groupBy("id", "n", "label").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
+    first = F.slice("all", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    rare = write_table(ranked.select("id", "n", "label", F.posexplode(first).alias("place", "x")).where("x.df > 1").select("id", "n", "label", "place", F.col("x.token").alias("token")), "op2-rare")
+    drop_table(tokens)
+    mixed = rare.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    rare = rare.join(mixed, "token")
+    other = rare.select("token", F.struct("id", "n", "label", "place").alias("h"))
+    # at the first shingle that both hold, at least `need` must be left in each, itself included
+    close = f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)"
+    need = f"ceil({percent} * (n + h.n) / {100 + percent})"
+    met = rare.join(other, "token").where(f"label < h.label and {close} and n - place >= {need} and h.n - h.place >= {need}")
+    return met.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
+
+
 def near_duplicates(
     documents: DataFrame,
     *,
@@ -255,47 +274,16 @@ def near_duplicates(
     close = f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)"  # no link without it
     tried = write_table(met.join(hubs, "key").where(f"id <> h.id and {close}").select(*ordered("id", "h.id")).distinct(), "op2-tried")
     links = write_table(verified(tried), "op2-links")
-    turn, before = 0, 0.0
-    while True:
-        turn += 1
-        labels = write_table(components(links), "op2-labels")
-        marked = (
-            met.join(labels.withColumnRenamed("node", "id"), "id", "left")
-            .select("key", "id", "n", F.coalesce("component", "id").alias("label"))
-        )
-        mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        open_rows = write_table(marked.join(mixed, "key"), "op2-open")
-        by_label = open_rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
-        totals = by_label.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("sq"))
-        row = totals.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-        cross, n_rows = float(row["pairs"] or 0), float(row["rows"] or 0)
-        if not cross:
-            break
-        last = cross <= EXPAND * n_rows + 10_000 or (turn > HUB_ROUNDS and cross > SHRINK * before)
-        if last:
-            other = open_rows.select("key", F.struct("id", "n", "label").alias("h"))
-            pairs = open_rows.join(other, "key").where(f"label < h.label and {close}").select(*ordered("id", "h.id"))
-        else:
-            # another hub in each bucket: any member of the label that has most rows there
-            sizes = open_rows.groupBy("key", "label").agg(
-                F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("o"), "id", "n")).alias("m")
-            )
-            hub = sizes.groupBy("key").agg(F.max(F.struct("k", "label", "m")).alias("x"))
-            hub = hub.select("key", F.struct(F.col("x.m.id").alias("id"), F.col("x.m.n").alias("n"), F.col("x.label").alias("label")).alias("h"))
-            pairs = open_rows.join(hub, "key").where(f"label <> h.label and {close}").select(*ordered("id", "h.id"))
-        fresh = write_table(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "op2-tried")
-        more = write_table(verified(fresh), "op2-links")
-        grown = write_table(links.unionByName(more), "op2-links")
-        seen = write_table(tried.unionByName(fresh), "op2-tried")
-        for table in (links, more, tried, fresh, open_rows):
-            drop_table(table)
-        links, tried, before = grown, seen, cross
-        if last:
-            drop_table(labels)
-            labels = write_table(components(links), "op2-labels")
-            break
-        drop_table(labels)
-    for table in (heads, met, sets, links, tried):
+    labels = write_table(components(links), "op2-labels")
+    marked = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
+    mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    unsure = write_table(marked.join(mixed, "key").select("id", "n", "label").distinct(), "op2-open")
+    drop_table(met)
+    fresh = write_table(_rare_partners(sets.join(unsure, "id"), percent).join(tried, ["a", "b"], "left_anti"), "op2-tried")
+    more = write_table(verified(fresh), "op2-links")
+    drop_table(labels)
+    labels = write_table(components(links.unionByName(more)), "op2-labels")
+    for table in (heads, sets, links, more, tried, fresh, unsure):
         drop_table(table)
     whole = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "n", "set_a", "set_b", F.coalesce("component", "rep").alias("component")
