@@ -52,9 +52,15 @@ def unproject(east: Column, north: Column) -> tuple[Column, Column]:
     lam = (j + 2 * i) / _N + LON0
     psi = 0.5 * F.log((1 + F.sin(chi)) / (_C * (1 - F.sin(chi)))) / _N
     phi = 2 * F.atan(F.exp(psi)) - math.pi / 2
-    for _ in range(4):
-        now = F.log(F.tan(phi / 2 + math.pi / 4) * F.pow((1 - _E * F.sin(phi)) / (1 + _E * F.sin(phi)), F.lit(_E / 2)))
-        phi = phi - (now - psi) * F.cos(phi) * (1 - _E2 * F.sin(phi) * F.sin(phi)) / (1 - _E2)
+    # the steps run inside a fold, where the last value is a variable: written out, the expression would multiply
+    start = F.struct(phi.alias("phi"), psi.alias("psi"))
+
+    def newton(v: Column, _: Column) -> Column:
+        now = F.log(F.tan(v["phi"] / 2 + math.pi / 4) * F.pow((1 - _E * F.sin(v["phi"])) / (1 + _E * F.sin(v["phi"])), F.lit(_E / 2)))
+        slope = F.cos(v["phi"]) * (1 - _E2 * F.sin(v["phi"]) * F.sin(v["phi"])) / (1 - _E2)
+        return F.struct((v["phi"] - (now - v["psi"]) * slope).alias("phi"), v["psi"].alias("psi"))
+
+    phi = F.aggregate(F.array(*[F.lit(i) for i in range(4)]), start, newton)["phi"]
     return F.degrees(lam), F.degrees(phi)
 
 
