@@ -50,7 +50,7 @@ class Words:
             owners.append(np.repeat(np.arange(len(at)), count))
         owner = np.concatenate(owners)
         order = np.argsort(owner, kind="stable")
-        self.gram, self.gram_first = np.concatenate(grams)[order], np.searchsorted(owner[order], np.arange(len(at) + 1))
+        self.gram, self.gram_first = np.concatenate(grams)[order].astype(np.int32), np.searchsorted(owner[order], np.arange(len(at) + 1))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """(windows x WIDTH word numbers with -1 beyond the text, first window of each document); at least one per document."""
@@ -59,7 +59,7 @@ class Words:
         start = np.repeat(self.first[:-1], each) + STRIDE * ragged(np.zeros(len(each), np.int64), each)
         at = start[:, None] + np.arange(WIDTH)
         inside = at < np.repeat(self.first[1:], each)[:, None]
-        ids = np.full(at.shape, -1, dtype=np.int64)
+        ids = np.full(at.shape, -1, dtype=np.int32)
         ids[inside] = self.word[at[inside]]
         return ids, np.concatenate([[0], np.cumsum(each)])
 
@@ -176,27 +176,25 @@ class Network:
         return _sigmoid(np.maximum.reduceat(logits, first[:-1]).astype(np.float64))
 
 
-def _odds(texts: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of the label by word and by n-gram bucket, from how many documents of each class hold it; 0 where support is thin."""
-    doc = np.repeat(np.arange(len(labels)), np.diff(texts.first))
-    pairs = np.unique(doc * len(texts.bucket) + texts.word)
-    doc, word = pairs // len(texts.bucket), pairs % len(texts.bucket)
-    out = []
-    for owner, bucket in ((word, None), (None, texts.gram)):
-        if bucket is None:
-            d, b = doc, texts.bucket[word]
-        else:
-            count = np.diff(texts.gram_first)[word]
-            d, b = np.repeat(doc, count), texts.gram[ragged(texts.gram_first[word], count)]
-        key = np.unique(d * BUCKETS + b)
-        d, b = key // BUCKETS, key % BUCKETS
-        one = np.bincount(b[labels[d] == 1], minlength=BUCKETS)
-        none = np.bincount(b[labels[d] == 0], minlength=BUCKETS)
-        n_one, n_none = max(1, (labels == 1).sum()), max(1, (labels == 0).sum())
-        # significance of the excess among toxic documents; words met as often as chance get nothing
-        rate = (one + none) / (n_one + n_none)
-        excess = (one - n_one * rate) / np.sqrt(n_one * rate * (1 - rate) * n_none / (n_one + n_none) + 1.0)
-        out.append((np.clip(excess - 2.0, 0, 6) / 2).astype(np.float32))
+def _odds(texts: list[str], labels: np.ndarray, chunk: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Excess of each word and n-gram bucket among toxic documents, counted by document; 0 where it is no more than chance."""
+    counts = np.zeros((2, 2, BUCKETS))  # word or n-gram, label, bucket
+    for at in range(0, len(texts), chunk):  # a few documents at a time bound the memory
+        words, own = Words(*_layout(texts[at : at + chunk])), labels[at : at + chunk]
+        doc = np.repeat(np.arange(len(own)), np.diff(words.first))
+        if not len(doc):
+            continue
+        pairs = np.unique(doc * len(words.bucket) + words.word)
+        doc, word = pairs // len(words.bucket), pairs % len(words.bucket)
+        many = np.diff(words.gram_first)[word]
+        grams = words.gram[ragged(words.gram_first[word], many)]
+        for kind, d, bucket in ((0, doc, words.bucket[word]), (1, np.repeat(doc, many), grams)):
+            key = np.unique(d * BUCKETS + bucket)
+            np.add.at(counts[kind], (own[key // BUCKETS], key % BUCKETS), 1)
+    n_none, n_one = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
+    rate = counts.sum(axis=1) / (n_one + n_none)
+    excess = (counts[:, 1] - n_one * rate) / np.sqrt(n_one * rate * (1 - rate) * n_none / (n_one + n_none) + 1.0)
+    out = (np.clip(excess - 2.0, 0, 6) / 2).astype(np.float32)
     return out[0], out[1]
 
 
@@ -219,7 +217,7 @@ def train(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     half = order[: len(order) // 2]
-    word_odds, gram_odds = _odds(Words(*_layout([texts[i] for i in half])), y[half])
+    word_odds, gram_odds = _odds([texts[i] for i in half], y[half])
     net.p["word"][:, 0], net.p["gram"][:, 0] = word_odds, gram_odds
     rest = order[len(order) // 2 :]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
