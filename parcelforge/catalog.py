@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parcelforge.functions import geo, measure, text
 from parcelforge.operators import rules, sequence, similarity, spatial, versioning
 from parcelforge.plans import requests
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def _register(sql: str | None) -> Callable[[Query], Query]:
-    def keep(query: Query) -> Query:
-        _QUERIES[query.__name__] = query
-        if sql:
-            _SQL[query.__name__] = sql
-        return query
-
-    return keep
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from parcelforge.registry import Query, sql_of
+from parcelforge.registry import queries as _queries
+from parcelforge.registry import register as _register
+from parcelforge.registry import table as _table
 
 
 def _round(c, digits: int = 6):
@@ -356,8 +340,11 @@ def zone_change(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    from parcelforge import catalog_documents, catalog_space  # noqa: F401  they register themselves
+
+    return _queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return sql_of()
