@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
 from parcelforge.functions import overlay
-from parcelforge.functions.geo import boxes_meet, cells
+from parcelforge.functions.geo import boxes_meet, cells, overlap_area
 
 SHAPE = ArrayType(ArrayType(ArrayType(DoubleType())))
 
@@ -99,6 +99,15 @@ def envelope(shape: Column) -> Column:
     )
 
 
+def is_rectangle(shape: Column) -> Column:
+    """One ring of four different corners, neighbours sharing exactly one coordinate: an upright rectangle."""
+    ring = F.get(shape, F.lit(0))
+    p = [F.get(ring, F.lit(i)) for i in range(4)]
+    steps = [(p[i][0] == p[(i + 1) % 4][0]) != (p[i][1] == p[(i + 1) % 4][1]) for i in range(4)]
+    across = (p[0][0] != p[2][0]) & (p[0][1] != p[2][1]) & (p[1][0] != p[3][0]) & (p[1][1] != p[3][1])
+    return F.coalesce((F.size(shape) == 1) & (F.size(ring) == 4) & steps[0] & steps[1] & steps[2] & steps[3] & across, F.lit(False))
+
+
 def make_envelope(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     corner = lambda x, y: F.array(x.cast("double"), y.cast("double"))
     return F.array(F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1)))
@@ -142,7 +151,7 @@ def overlaps(parcels: DataFrame, zones: DataFrame, size: float) -> DataFrame:
     A pair meets in several cells and is kept in that of the lower-left corner of the shared box, so no distinct is needed.
     """
     def side(rows: DataFrame, key: str, name: str) -> DataFrame:
-        boxed = rows.select(key, F.col("shape").alias(name), envelope(F.col("shape")).alias(f"{name}_box")).where(f"{name}_box.x0 IS NOT NULL")
+        boxed = rows.select(key, F.col("shape").alias(name), envelope(F.col("shape")).alias(f"{name}_box"), is_rectangle(F.col("shape")).alias(f"{name}_plain")).where(f"{name}_box.x0 IS NOT NULL")
         return boxed.withColumn("cell", F.explode(cells(F.col(f"{name}_box"), size)))
 
     a, b = side(parcels, "parcel_id", "a"), side(zones, "zone_id", "b")
@@ -150,9 +159,12 @@ def overlaps(parcels: DataFrame, zones: DataFrame, size: float) -> DataFrame:
     near = a.join(b, "cell").where(boxes_meet(F.col("a_box"), F.col("b_box")) & (first[0] == F.col("cell.i")) & (first[1] == F.col("cell.j")))
 
     def kernel(x: overlay.Shape, y: overlay.Shape) -> float | None:
-        return overlay.shared_area(x, y) if overlay.meets(x, y) else None
+        return overlay.shared_area(x, y) or (0.0 if overlay.meets(x, y) else None)
 
-    scored = near.withColumn("shared", _kernel(kernel, DoubleType(), F.col("a"), F.col("b")))
+    # upright rectangles share what their boxes share: those pairs stay in the JVM, Python sees nulls for them
+    plain = F.col("a_plain") & F.col("b_plain")
+    exact = _kernel(kernel, DoubleType(), F.when(~plain, F.col("a")), F.when(~plain, F.col("b")))
+    scored = near.withColumn("shared", F.when(plain, overlap_area(F.col("a_box"), F.col("b_box"))).otherwise(exact))
     return scored.where("shared IS NOT NULL").select("parcel_id", "zone_id", "shared")
 
 

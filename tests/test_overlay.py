@@ -33,6 +33,15 @@ def test_areas_add_up(seed):
     assert overlay.area(overlay.difference(a, b)) == pytest.approx(overlay.area(a) - shared, abs=1e-4)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_convex_rings_agree_with_slabs(seed):
+    rng = np.random.default_rng(seed)
+    a, b = ([overlay.hull(star(rng, 9)[0])] for _ in range(2))
+    assert overlay.is_convex(a[0]) and not overlay.is_convex(np.array([[0, 3], [2, -3], [-3, 1], [3, 1], [-2, -3]], float))
+    assert overlay.shared_area(a, b) == pytest.approx(overlay.area(overlay.intersection(a, b)), abs=1e-4)
+    assert overlay.shared_area(a, [b[0][::-1]]) == pytest.approx(overlay.shared_area(b, a), abs=1e-9)
+
+
 def test_holes_touching_and_closing():
     a = square(0, 0, 10)
     holed = overlay.difference(a, square(2, 2, 2))
@@ -61,6 +70,8 @@ def test_nulls_and_empty_shapes(spark):
     zones = rows.withColumnRenamed("parcel_id", "zone_id")
     assert [tuple(r) for r in shapes.overlaps(rows, zones, 3.0).collect()] == [(3, 3, 16.0)]
     assert shapes.overlaps(rows.limit(0), zones, 3.0).collect() == []
+    slanted = spark.createDataFrame([(1, [[[4.0, 0.0], [8.0, 2.0], [4.0, 4.0]]]), (2, [[[2.0, 0.0], [4.0, 2.0], [2.0, 4.0], [0.0, 2.0]]]), (3, [[[4.5, 0.0], [8.0, 2.0], [4.5, 4.0]]])], "zone_id int, shape array<array<array<double>>>")
+    assert sorted((r["zone_id"], r["shared"]) for r in shapes.overlaps(rows, slanted, 3.0).collect()) == [(1, 0.0), (2, 8.0)]
     row = rows.where("parcel_id = 3").select(shapes.centroid(F.element_at("shape", 1)).alias("c")).first()
     assert list(row["c"]) == [2.0, 2.0]
 
