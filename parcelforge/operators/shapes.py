@@ -156,16 +156,21 @@ def overlaps(parcels: DataFrame, zones: DataFrame, size: float) -> DataFrame:
 
     a, b = side(parcels, "parcel_id", "a"), side(zones, "zone_id", "b")
     first = [F.floor(F.greatest(f"a_box.{c}", f"b_box.{c}") / size) for c in ("x0", "y0")]
-    near = a.join(b, "cell").where(boxes_meet(F.col("a_box"), F.col("b_box")) & (first[0] == F.col("cell.i")) & (first[1] == F.col("cell.j")))
+
+    def met(one: DataFrame, two: DataFrame) -> DataFrame:
+        return one.join(two, "cell").where(boxes_meet(F.col("a_box"), F.col("b_box")) & (first[0] == F.col("cell.i")) & (first[1] == F.col("cell.j")))
 
     def kernel(x: overlay.Shape, y: overlay.Shape) -> float | None:
         return overlay.shared_area(x, y) or (0.0 if overlay.meets(x, y) else None)
 
-    # upright rectangles share what their boxes share: those pairs stay in the JVM, Python sees nulls for them
-    plain = F.col("a_plain") & F.col("b_plain")
-    exact = _kernel(kernel, DoubleType(), F.when(~plain, F.col("a")), F.when(~plain, F.col("b")))
-    scored = near.withColumn("shared", F.when(plain, overlap_area(F.col("a_box"), F.col("b_box"))).otherwise(exact))
-    return scored.where("shared IS NOT NULL").select("parcel_id", "zone_id", "shared")
+    # upright rectangles share what their boxes share: those pairs carry no shapes and stay in the JVM
+    plain = met(a.where("a_plain").drop("a"), b.where("b_plain").drop("b")).withColumn("shared", overlap_area(F.col("a_box"), F.col("b_box")))
+    others = [met(a.where("NOT a_plain"), b), met(a.where("a_plain"), b.where("NOT b_plain"))]
+    out = plain.select("parcel_id", "zone_id", "shared")
+    for pairs in others:
+        scored = pairs.withColumn("shared", _kernel(kernel, DoubleType(), F.col("a"), F.col("b")))
+        out = out.unionByName(scored.where("shared IS NOT NULL").select("parcel_id", "zone_id", "shared"))
+    return out
 
 
 def dissolve(rows: DataFrame, key: str, size: float, levels: int = 3) -> DataFrame:
