@@ -1,0 +1,283 @@
+"""Whole documents to record tables: zone rules, strategy sections, versioned record families, use permissions.
+
+A document is one typed column.  Its branches are arrays of that column; each is turned into structs of one shape and the concatenation
+is inlined, so a document family costs one scan and no union or shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from parcelforge.functions import text
+
+CONTROL = "struct<metric: string, value: double, unit: string, condition_text: string>"
+SUBAREA = f"struct<subarea_name: string, clause_label_raw: string, requirements: array<{CONTROL}>>"
+#: One shape for the entries of every branch; what a branch does not state is null.
+ITEM = (
+    "struct<clause_label_raw: string, section_label_raw: string, clause_path: array<string>, parent_clause_label_raw: string, status: string, use_name: string, "
+    "use_type: string, permission_symbols: array<string>, conditions: array<string>, applicability_scope: string, summary: string, rule_type: string, metric: string, "
+    "value: double, unit: string, condition_text: string, area_name: string, area_source_reference: string, schedule_reference: string, sign_type: string, "
+    f"max_area: double, controls: array<{CONTROL}>, requirements: array<{CONTROL}>, subareas: array<{SUBAREA}>>"
+)
+_GROUPS = ("base_dimensional_controls", "accessory_building_controls", "corner_lot_controls", "area_specific_overrides")
+ZONE_DOCUMENT = (
+    "struct<document_metadata: struct<zone_code: string, zone_name: string>, "
+    + ", ".join(f"{name}: array<{ITEM}>" for name in ("permitted_uses", "prohibitions", "sign_controls", "use_specific_standards"))
+    + f", requirements: struct<{', '.join(f'{g}: array<{ITEM}>' for g in _GROUPS)}>, open_issues: array<string>, shared_requirement_references: array<string>>"
+)
+_POLICY = "struct<policy_label_raw: string, label_raw: string, policy_type: string, modality: string, topic: string, text: string>"
+STRATEGY_DOCUMENT = (
+    "struct<section_metadata: struct<section_label_raw: string, title_label_raw: string, section_slug: string, section_type: string, status: string>, status: string, "
+    f"context_blocks: array<{_POLICY}>, objectives: array<{_POLICY}>, policies: array<{_POLICY}>>"
+)
+_UNIT = "source_order: int, label_raw: string, title_raw: string, text_raw: string"
+_CELL = "struct<column_id: string, cell_text_raw: string, source_order: int>"
+TABLE = (
+    "struct<table_id: string, source_order: int, columns_raw: array<struct<column_id: string, column_label_raw: string>>, "
+    f"rows_raw: array<struct<source_order: int, cells_raw: array<{_CELL}>>>>"
+)
+_CLAUSE = "struct<clause_id: string, parent_clause_id: string, clause_label_raw: string, clause_text_raw: string, source_order: int>"
+_FACT = "struct<type: string, label_raw: string, text_raw: string, term: string, use: string, source_section_id: string, source_table_id: string>"
+#: Families of facts that a document may state.
+FACTS = ("definitions", "numeric_values", "relationships", "requirements", "terms", "uses")
+NORMALISED_DOCUMENT = (
+    "struct<document_metadata: struct<document_type: string, zone_code: string, zone_label_raw: string, title_raw: string>, raw_data: struct<"
+    f"source_units: array<struct<source_unit_id: string, source_unit_type: string, {_UNIT}>>, "
+    "sections_raw: array<struct<section_id: string, section_label_raw: string, section_title_raw: string, source_order: int, "
+    f"clauses_raw: array<{_CLAUSE}>, tables_raw: array<{TABLE}>>>, tables_raw: array<{TABLE}>, "
+    f"entries_raw: array<struct<term_raw: string, entry_label_raw: string, definition_text_raw: string, entry_text_raw: string, {_UNIT}>>, "
+    f"pages_raw: array<struct<page_id: string, page_label_raw: string, page_number: int, {_UNIT}>>, "
+    f"map_references_raw: array<struct<map_reference_id: string, map_reference_type: string, {_UNIT}>>>, "
+    f"structured_data: struct<{', '.join(f'{f}: array<{_FACT}>' for f in FACTS)}>>"
+)
+
+
+def parse(docs: DataFrame, body: str, kind: str) -> DataFrame:
+    """``docs`` with its JSON text as the typed column ``doc``; a text that is no object of the kind gives null and is left out by the readers below."""
+    return docs.withColumn("doc", F.from_json(body, kind)).drop(body)
+
+
+def _each(items: Column, make) -> Column:
+    """``make(item, place from 1)`` of every element; none for null."""
+    made = F.transform(items, lambda v, i: make(v, i + 1))
+    return F.coalesce(made, F.slice(F.array(make(F.get(items, F.lit(0)), F.lit(1))), F.lit(1), F.lit(0)))
+
+
+def _first(*columns: Column) -> Column:
+    """The first that is neither null nor empty."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
+
+
+def joined_conditions(item: Column) -> Column:
+    return F.when(F.size(item["conditions"]) > 0, F.array_join(item["conditions"], " | "))
+
+
+def zone_provisions(docs: DataFrame, path: str = "path") -> DataFrame:
+    """(path, zone_code, kind, place, source_key, text_value, item): every provision of the zone documents in column ``doc``."""
+    d = F.col("doc")
+    branches = [("permitted_use", d["permitted_uses"]), ("prohibition", d["prohibitions"])]
+    branches += [("area_specific_override" if g.startswith("area") else g, d["requirements"][g]) for g in _GROUPS]
+    branches += [("sign_control", d["sign_controls"]), ("use_specific_standard", d["use_specific_standards"])]
+
+    def branch(kind: str, items: Column) -> Column:
+        return _each(items, lambda v, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("place"), v.alias("item")))
+
+    rows = docs.select(path, d["document_metadata"]["zone_code"].alias("zone_code"), F.inline(F.concat(*[branch(k, c) for k, c in branches])))
+    item = F.col("item")
+    said = (
+        F.when(F.col("kind") == "permitted_use", item["use_name"]).when(F.col("kind") == "prohibition", item["summary"])
+        .when(F.col("kind") == "area_specific_override", item["area_name"]).when(F.col("kind") == "sign_control", item["sign_type"])
+        .when(F.col("kind") == "use_specific_standard", _first(item["use_name"], item["summary"])).otherwise(_first(item["summary"], item["metric"]))
+    )
+    key = text.source_key(F.col(path), F.col("kind"), item["clause_label_raw"], item["section_label_raw"], F.col("place").cast("string"))
+    return rows.select(path, "zone_code", "kind", "place", key.alias("source_key"), said.alias("text_value"), "item")
+
+
+def _rule(kind: Column, scope: Column, metric: Column, use: Column, number: Column, value: Column, unit: Column, condition: Column) -> Column:
+    parts = (kind, "rule_type"), (scope, "applicability_scope"), (metric, "metric"), (use, "use_name"), (number, "numeric_value"), (value, "value_text")
+    return F.struct(*[c.alias(n) for c, n in (*parts, (unit, "unit"), (condition, "condition_text"))])
+
+
+def zone_rules(provisions: DataFrame) -> DataFrame:
+    """The rules of provisions: one of a use, prohibition or sign; one per control, requirement and requirement of a sub-area.
+
+    A dimensional entry without controls is itself a rule, a use-specific standard without controls only when it states conditions.
+    """
+    v, kind, no = F.col("item"), F.col("kind"), F.lit(None).cast("string")
+    none = F.lit(None).cast("double")
+    said = joined_conditions(v)
+    area = _first(v["area_source_reference"], v["schedule_reference"], v["area_name"])
+
+    def control(scope: Column, use: Column, value, condition):
+        return lambda c, _: _rule(kind, scope, c["metric"], use, c["value"], value(c), c["unit"], condition(c))
+
+    own = lambda c: c["condition_text"]
+    lone = F.array(_rule(kind, no, v["metric"], no, v["value"], v["summary"], v["unit"], _first(v["condition_text"], said)))
+    per_control = _each(v["controls"], control(no, no, own, own))
+    standards = _each(v["controls"], control(v["area_name"], v["use_name"], own, lambda c: _first(c["condition_text"], said)))
+    by_condition = F.when(said.isNotNull(), F.array(_rule(kind, v["area_name"], no, v["use_name"], none, said, no, no)))
+    direct = _each(v["requirements"], control(area, no, lambda c: no, own))
+
+    def within(s: Column, _) -> Column:
+        return _each(s["requirements"], control(_first(s["subarea_name"], v["area_source_reference"], v["area_name"]), no, lambda c: no, own))
+
+    rules = (
+        F.when(kind == "permitted_use", F.array(_rule(_first(v["use_type"], kind), v["applicability_scope"], no, v["use_name"], none, no, no, said)))
+        .when(kind == "prohibition", F.array(_rule(_first(v["rule_type"], kind), no, no, no, none, v["summary"], no, no)))
+        .when(kind == "sign_control", F.array(_rule(kind, no, F.when(v["max_area"].isNotNull(), "sign_area_maximum"), v["sign_type"], v["max_area"], no, v["unit"], said)))
+        .when(kind == "area_specific_override", F.concat(direct, F.flatten(_each(v["subareas"], within))))
+        .when(kind == "use_specific_standard", F.when(F.size(v["controls"]) > 0, standards).otherwise(by_condition))
+        .otherwise(F.when(F.size(v["controls"]) > 0, per_control).otherwise(lone))
+    )
+    rows = provisions.select("source_key", "zone_code", v["status"].alias("status"), F.posexplode(rules).alias("_at", "_rule"))
+    return rows.select(
+        F.col("source_key").alias("provision_key"), text.source_key(F.col("source_key"), F.lit("rule"), F.col("_rule.metric"), (F.col("_at") + 1).cast("string")).alias("source_key"),
+        "zone_code", "_rule.*", "status",
+    )
+
+
+def strategy_provisions(docs: DataFrame, path: str = "path") -> DataFrame:
+    """(path, section_label, kind, place, label, topic, text_value, rule_type, modality, status) of context blocks, objectives and policies; only policies have a rule type."""
+    d = F.col("doc")
+
+    def branch(kind: str, items: Column, ruled: bool = False) -> Column:
+        rule = (lambda v: _first(v["policy_type"], F.lit("mps_policy"))) if ruled else (lambda v: F.lit(None).cast("string"))
+        return _each(items, lambda v, i: F.struct(
+            F.lit(kind).alias("kind"), i.cast("int").alias("place"), _first(v["policy_label_raw"], v["label_raw"]).alias("label"), v["topic"].alias("topic"),
+            v["text"].alias("text_value"), rule(v).alias("rule_type"), v["modality"].alias("modality"),
+        ))
+
+    parts = F.concat(branch("mps_context_block", d["context_blocks"]), branch("mps_objective", d["objectives"]), branch("mps_policy", d["policies"], True))
+    meta = d["section_metadata"]
+    return docs.select(path, meta["section_label_raw"].alias("section_label"), _first(meta["status"], d["status"]).alias("status"), F.inline(parts))
+
+
+def document_records(docs: DataFrame, path: str = "path") -> DataFrame:
+    """(natural_key, family, parent_key, payload, content_hash): all record families of the normalised documents in column ``doc``.
+
+    ``parent_key`` is the natural key of the record that holds it: the file, a section or a table.  ``payload`` is JSON without nulls and ``content_hash`` its SHA-256, so
+    equal contents compare equal over imports.  An entry without a term or without a text is no definition.
+    """
+    d, raw = F.col("doc"), F.col("doc.raw_data")
+    file = F.col(path)
+    meta = d["document_metadata"]
+
+    def record(family: str, key: Column, parent: Column, payload: Column) -> Column:
+        return F.struct(key.alias("natural_key"), F.lit(family).alias("family"), parent.alias("parent_key"), F.to_json(payload).alias("payload"))
+
+    def key(parent: Column, *parts: Column | str) -> Column:
+        return F.concat_ws("|", parent, *[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
+
+    def digest(c: Column) -> Column:
+        return F.left(F.sha2(F.coalesce(c, F.lit("")), 256), F.lit(16))
+
+    def order(v: Column) -> Column:
+        return v["source_order"].cast("string")
+
+    def of_table(parent: Column):
+        def make(t: Column, _) -> Column:
+            own = key(parent, "table", _first(t["table_id"], order(t)))
+
+            def row(r: Column, at: Column) -> Column:
+                def cell(c: Column, place: Column) -> Column:
+                    label = F.get(F.filter(t["columns_raw"], lambda k: k["column_id"] == c["column_id"]), F.lit(0))["column_label_raw"]
+                    spot = key(own, "row", F.coalesce(order(r), at.cast("string")), "col", c["column_id"], "pos", F.coalesce(order(c), place.cast("string")), digest(c["cell_text_raw"]))
+                    return record("raw_table_cell", spot, own, F.struct(c["column_id"].alias("column_id"), label.alias("column_label_raw"), c["cell_text_raw"].alias("cell_text_raw")))
+
+                return _each(r["cells_raw"], cell)
+
+            head = record("raw_table", own, parent, F.struct(t["table_id"].alias("table_id"), t["columns_raw"].alias("columns_raw"), t["source_order"].alias("source_order")))
+            return F.concat(F.array(head), F.flatten(_each(t["rows_raw"], row)))
+
+        return make
+
+    def of_section(s: Column, _) -> Column:
+        own = key(file, "section", _first(s["section_id"], s["section_label_raw"], order(s)), s["section_label_raw"])
+
+        def clause(c: Column, _) -> Column:
+            spot = key(own, "clause", _first(c["clause_id"], c["clause_label_raw"], order(c)), digest(c["clause_text_raw"]))
+            return record("clause", spot, own, c)
+
+        head = record("section", own, file, s.dropFields("clauses_raw", "tables_raw"))
+        return F.concat(F.array(head), _each(s["clauses_raw"], clause), F.flatten(_each(s["tables_raw"], of_table(own))))
+
+    def of_entry(e: Column, _) -> Column:
+        term, meaning = _first(e["term_raw"], e["entry_label_raw"], e["label_raw"]), _first(e["definition_text_raw"], e["entry_text_raw"], e["text_raw"])
+        spot = key(file, "definition", text.norm_key(term), digest(meaning))
+        return record("definition", F.when(term.isNotNull() & meaning.isNotNull(), spot), file, F.struct(term.alias("term_raw"), meaning.alias("definition_text_raw"), e["source_order"].alias("source_order")))
+
+    def of_fact(family: str):
+        def make(f: Column, i: Column) -> Column:
+            ref = _first(f["source_section_id"], f["source_table_id"])
+            return record("structured_fact", key(file, "structured", family, ref, i.cast("string"), digest(F.to_json(f))), file, F.struct(F.lit(family).alias("fact_family"), f.alias("value_payload")))
+
+        return make
+
+    part = key(file, "part", meta["document_type"], meta["zone_code"])
+    families = [
+        F.array(record("source_file", file, F.lit(None).cast("string"), meta), record("bylaw_part", part, file, meta)),
+        _each(raw["source_units"], lambda u, _: record("source_unit", key(file, "source_unit", _first(u["source_unit_id"], order(u))), file, u)),
+        F.flatten(_each(raw["sections_raw"], of_section)),
+        F.flatten(_each(raw["tables_raw"], of_table(file))),
+        F.filter(_each(raw["entries_raw"], of_entry), lambda r: r["natural_key"].isNotNull()),
+        _each(raw["pages_raw"], lambda p, _: record("raw_page", key(file, "page", _first(p["page_id"], p["page_number"].cast("string"), order(p)), digest(p["text_raw"])), file, p)),
+        _each(raw["map_references_raw"], lambda m, _: record("raw_map_reference", key(file, "map_reference", _first(m["map_reference_id"], order(m)), digest(F.to_json(m))), file, m)),
+        *[_each(d["structured_data"][f], of_fact(f)) for f in FACTS],
+    ]
+    rows = docs.where("doc IS NOT NULL").select(F.inline(F.concat(*families)))
+    return rows.withColumn("content_hash", F.sha2("payload", 256))
+
+
+def use_permissions(provisions: DataFrame) -> DataFrame:
+    """(regulation_id, zone_code, subject, permission_status, conditions) of permitted uses; conditions or any symbol but ``permitted`` alone make a use conditional."""
+    v = F.col("item")
+    symbols = F.transform(F.coalesce(v["permission_symbols"], F.array()), F.lower)
+    plain = (F.size(F.coalesce(v["conditions"], F.array())) == 0) & ((F.size(symbols) == 0) | (F.array_join(symbols, "\x00") == "permitted"))
+    name = _first(v["use_name"], F.lit("unknown use"))
+    return provisions.where("kind = 'permitted_use'").select(
+        F.concat_ws(":", F.lit("regulation"), "zone_code", F.col("place").cast("string")).alias("regulation_id"), "zone_code", text.slugify(name).alias("subject"),
+        F.when(plain, "permitted").otherwise("permitted_with_conditions").alias("permission_status"), F.coalesce(v["conditions"], F.array()).alias("conditions"),
+    )
+
+
+def review_items(docs: DataFrame) -> DataFrame:
+    """(zone_code, place, source_text) of the open issues that zone documents name."""
+    return docs.select(F.col("doc.document_metadata.zone_code").alias("zone_code"), F.posexplode("doc.open_issues").alias("place", "source_text")).withColumn("place", F.col("place") + 1)
+
+
+def shared_requirements(docs: DataFrame) -> DataFrame:
+    """(zone_code, place, to_id, source_text): edges from zones to the requirements they share."""
+    rows = docs.select(F.col("doc.document_metadata.zone_code").alias("zone_code"), F.posexplode("doc.shared_requirement_references").alias("place", "source_text"))
+    return rows.select("zone_code", F.col("place") + 1, F.concat(F.lit("requirement-reference:"), text.slugify(F.col("source_text"))).alias("to_id"), "source_text")
+
+
+def inherited_uses(uses: DataFrame, permits: DataFrame) -> DataFrame:
+    """Uses (zone, use_name, conditions) with those that a zone takes over from another: ``permits`` is (zone, source_zone, conditions).
+
+    One step, as stated; a use that the zone states itself is not taken over.  Inherited rows carry the conditions of the permit after the use's own.
+    """
+    own = uses.select("zone", "use_name", "conditions", F.lit(None).cast("string").alias("source_zone"))
+    taken = permits.withColumnRenamed("conditions", "_more").join(uses.withColumnRenamed("zone", "source_zone"), "source_zone")
+    taken = taken.join(uses.select("zone", "use_name"), ["zone", "use_name"], "left_anti")
+    both = F.concat(F.coalesce("conditions", F.array()), F.coalesce("_more", F.array()))
+    return own.unionByName(taken.select("zone", "use_name", both.alias("conditions"), "source_zone"))
+
+
+def dataset(zones: DataFrame, strategies: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a bundle of zone and strategy documents; each is its own plan over the same scan."""
+    provisions = zone_provisions(zones)
+    policies = strategy_provisions(strategies)
+    return {
+        "provisions": provisions.drop("item"), "rules": zone_rules(provisions), "regulations": use_permissions(provisions), "relationships": shared_requirements(zones),
+        "review_items": review_items(zones), "strategy_provisions": policies, "strategy_rules": policies.where("rule_type IS NOT NULL"),
+    }
+
+
+def bundle_stats(tables: dict[str, DataFrame]) -> DataFrame:
+    """(family, n) of a bundle."""
+    counts = [t.select(F.lit(name).alias("family")).groupBy("family").agg(F.count(F.lit(1)).alias("n")) for name, t in tables.items()]
+    out = counts[0]
+    for one in counts[1:]:
+        out = out.unionByName(one)
+    return out
