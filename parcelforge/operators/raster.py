@@ -70,3 +70,14 @@ def runs(pixels: DataFrame, code: str) -> DataFrame:
     """(row, code, col_start, col_end) of horizontal runs of one class."""
     lane = Window.partitionBy("row", code).orderBy("col")
     return pixels.withColumn("_g", F.col("col") - F.row_number().over(lane)).groupBy("row", code, "_g").agg(F.min("col").alias("col_start"), F.max("col").alias("col_end")).drop("_g")
+
+
+def tiles(pixels: DataFrame, columns: list[str], size: int = 256) -> DataFrame:
+    """(tile_row, tile_col, pixels): square tiles of at most ``size`` squared pixels, each sorted by row and column; the sink form of a raster."""
+    at = [F.floor(F.col(c) / size).alias(f"tile_{c}") for c in ("row", "col")]
+    return pixels.groupBy(*at).agg(F.array_sort(F.collect_list(F.struct("row", "col", *columns))).alias("pixels"))
+
+
+def from_tiles(tiled: DataFrame) -> DataFrame:
+    """The pixel table of tiles."""
+    return tiled.select(F.inline("pixels"))

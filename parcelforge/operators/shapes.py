@@ -28,7 +28,9 @@ def _out(shape: overlay.Shape) -> list:
     return [r.tolist() for r in shape]
 
 
-_ARROW = {DoubleType(): pa.float64(), BooleanType(): pa.bool_(), SHAPE: pa.list_(pa.list_(pa.list_(pa.float64())))}
+PLACES = ArrayType(ArrayType(DoubleType()))
+_PAIRS = pa.list_(pa.list_(pa.float64()))
+_ARROW = {DoubleType(): pa.float64(), BooleanType(): pa.bool_(), SHAPE: pa.list_(_PAIRS), PLACES: _PAIRS}
 
 
 def _kernel(kernel: Callable, kind, *shapes: Column) -> Column:
@@ -81,6 +83,11 @@ def close_gaps(shape: Column, reach: float) -> Column:
     return _kernel(lambda x: _out(overlay.without_holes(overlay.close_gaps(x, reach))), SHAPE, shape)
 
 
+def sample_grid(shape: Column) -> Column:
+    """Array of [x, y]: an interior point, then the points of a grid inset in the shape, 49 at most in all; null for null."""
+    return _kernel(overlay.sample_grid, PLACES, shape)
+
+
 def hull(shape: Column) -> Column:
     return _kernel(lambda x: [overlay.hull(np.vstack(x)).tolist()] if x else [], SHAPE, shape)
 
