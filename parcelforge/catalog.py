@@ -340,7 +340,7 @@ def zone_change(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from parcelforge import catalog_documents, catalog_space  # noqa: F401  they register themselves
+    from parcelforge import catalog_documents, catalog_records, catalog_space  # noqa: F401  they register themselves
 
     return _queries()
 

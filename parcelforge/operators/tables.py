@@ -12,7 +12,7 @@ _PAIRED = r"(?:(?<=m|metres|meters)\s*[(/]?\s*\d+(?:,\d{3})*(?:\.\d+)?\s*(?:feet
 
 def value_groups(value: Column) -> Column:
     """Measurements of a cell in order, an imperial equivalent with its metric value: ``6 m (20 ft) 8 m`` gives two."""
-    return F.transform(F.regexp_extract_all(value, F.lit(rf"(?i)({_AMOUNT}{_PAIRED})"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(value, F.lit(rf"(?i)({_AMOUNT}{_PAIRED})"), F.lit(1)), lambda g: F.trim(g))
 
 
 def condition_rows(rows: DataFrame, requirement: str, values: list[str], conditions: list[list[str]]) -> DataFrame:
