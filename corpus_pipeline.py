@@ -24,8 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the document with the largest id."""
     bounded_batches(spark)
-    gone = exactdup.deduplicate(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    gone = exactdup.deduplicate(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_digest")).distinct()
+    # id and text together: a row that shares its id with a dropped one but not its text stays
+    digest = exactdup.digest_of(F.col("text"))
+    return docs.join(gone, (digest == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import mix
@@ -78,10 +78,18 @@ def _keys(digests: pd.Series) -> np.ndarray:
     return np.array([int(d[-16:], 16) for d in digests], dtype=np.uint64)
 
 
+def _normalised(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
+
+
+def digest_of(text: Column) -> Column:
+    """SHA-256 (lower-case hex) of the text with only A-Z lower-cased; null counts as empty."""
+    return F.sha2(_normalised(text), 256)
+
+
 def digests(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """(id, digest[, norm]): SHA-256 (lower-case hex) of the text with only A-Z lower-cased; null counts as empty."""
-    norm = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER)
-    rows = documents.select(F.col(id_col).alias("id"), norm.alias("norm"))
+    rows = documents.select(F.col(id_col).alias("id"), _normalised(F.col(text_col)).alias("norm"))
     return rows.select("id", F.sha2("norm", 256).alias("digest"), *["norm"] * with_text)
 
 

@@ -232,7 +232,9 @@ def near_duplicates(
     A null or empty text has an empty set, n_shingles 0, and is linked with
     nothing.  Equal sets are one vertex until the end, so large groups of copies
     cost one sketch each.  Rows that repeat an id are one vertex and repeat their
-    result; an empty table gives an empty result; other columns are not read.
+    result; a row with a null id belongs to the group of its set, where any other
+    id is smaller, and is kept only if that group has none; an empty table gives
+    an empty result; other columns are not read.
     """
     sketches = write_table(sketch(documents, shingle=shingle, id_col=id_col, text_col=text_col), "op2-sketches")
     classes = write_table(
@@ -290,4 +292,4 @@ def near_duplicates(
     )
     out = sketches.select("id", "n", "set_a", "set_b").join(whole, ["n", "set_a", "set_b"], "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
