@@ -69,6 +69,8 @@ def test_sample_grid(spark):
     hollow = [np.array(SQUARE), np.array(HOLE)]
     assert [5.0, 5.0] not in overlay.sample_grid(hollow) and len(overlay.sample_grid(hollow)) == 9
     assert overlay.sample_grid([]) == [] and len(overlay.sample_grid([np.array([[0.0, 0], [1, 0]])])) == 1
+    triangle = np.array([[0.0, 0], [0, 9], [12, 0]])  # inradius 3, area 54
+    assert abs(overlay.area(overlay._inset_convex(triangle, 1.08)) - 54 * 0.64**2) < 1e-9 and overlay._inset_convex(triangle, 3.1) == []
     row = spark.createDataFrame([([SQUARE],), (None,)], "shape array<array<array<double>>>").select(shapes.sample_grid(F.col("shape")).alias("p")).collect()
     assert len(row[0]["p"]) == 10 and row[1]["p"] is None
 
