@@ -83,6 +83,27 @@ def document_records(spark, sf_dir):
     return documents.document_records(rows).select("natural_key", "family", "parent_key")
 
 
+@register("""WITH i AS (SELECT *, ['terms', 'uses', 'numeric_values', 'requirements', 'regulation_groups', 'conditional_rule_groups', 'zone_relationships', 'map_layer_references', 'definitions',
+    'cross_references', 'site_specific_rules', 'spatial_references', 'other_requirements'][p_partkey % 13 + 1] AS f,
+    '{"citations":{"page":' || p_partkey || '},"numeric_value":{"unit":"m","value":' || p_size || '},"term_raw":"' || p_name || '","type":"lot"}' AS v FROM part),
+  p AS (SELECT *, '{"citations":{"page":' || p_partkey || '},"fact_family":"' || f || '","fact_type":"lot","normalized_key":"' || trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_')
+    || '","raw_label":"' || p_name || '","raw_text":null,"source_record_key":null,"source_record_table":null,"value_payload":' || v || '}' AS payload FROM i)
+  SELECT p_partkey || '|structured|' || f || '||1|' || left(sha256(v), 16) AS natural_key, payload, sha256('{"payload":' || payload || ',"table":"structured_fact"}') AS content_hash FROM p""")
+def document_facts(spark, sf_dir):
+    families = ["terms", "uses", "numeric_values", "requirements", "regulation_groups", "conditional_rule_groups", "zone_relationships", "map_layer_references", "definitions"]
+    families += ["cross_references", "site_specific_rules", "spatial_references", "other_requirements"]
+    family = F.get(F.array(*[F.lit(f) for f in families]), (F.col("p_partkey") % 13).cast("int"))
+    amount = F.struct(F.col("p_size").alias("value"), F.lit("m").alias("unit"))
+    entry = F.struct(
+        F.concat(F.lit("f"), "p_partkey").alias("fact_id"), F.lit("lot").alias("type"), F.col("p_name").alias("term_raw"), amount.alias("numeric_value"),
+        F.lit("high").alias("confidence"), F.struct(F.col("p_partkey").alias("page")).alias("citations"),
+    )
+    body = F.concat(F.lit('{"structured_data":{"'), family, F.lit('":['), F.to_json(entry), F.lit("]}}"))
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), body.alias("body"))
+    rows = documents.document_records(documents.parse(docs, "body", documents.NORMALISED_DOCUMENT))
+    return rows.where("family = 'structured_fact'").select("natural_key", "payload", "content_hash")
+
+
 @register("""WITH u AS (SELECT s_nationkey AS zone, 'use ' || s_suppkey % 7 AS use_name FROM supplier),
   p AS (SELECT n_nationkey AS zone, (n_nationkey + 1) % 25 AS source_zone, n_name FROM nation)
   SELECT zone, use_name, NULL AS source_zone, '' AS conditions FROM u
