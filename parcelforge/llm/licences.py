@@ -21,19 +21,79 @@ from parcelforge.llm.arrowtext import ALNUM, lower, segment, slices, word_hashes
 #: The phrases whose places are counted, with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Fixed values: (label, template).  Every template begins with two mandatory words.
+_BSD_HEAD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[[{0}]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[[{1}]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+    "and or other materials provided with the distribution "
+)
+_BSD_NAMES = (
+    "neither the name of {{org:1-20}} nor the names of [[its]] contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission "
+)
+_BSD_ADVERTISING = (
+    "[[3]] all advertising materials mentioning features or use of this software must display the following acknowledgement this product includes software "
+    "developed by {{org:1-20}} [[4]] "
+)
+_BSD_TAIL = (
+    "this software is provided by {{holder:1-20}} as is and any express or implied warranties including but not limited to the implied warranties of "
+    "merchantability and fitness for a particular purpose are disclaimed in no event shall {{holder:1-20}} be liable for any direct indirect incidental special "
+    "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business "
+    "interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way "
+    "out of the use of this software even if advised of the possibility of such damage"
+)
+_GPL = (
+    "this {0} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] general public license as published by the free "
+    "software foundation [[either]] version {{{{number:1-2}}}} of the license [[or at your option any later version]] this {0} is distributed in the hope that it "
+    "will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu [[lesser]] "
+    "general public license for more details you should have received a copy of the gnu [[lesser]] general public license along with this {0}"
+)
+
+
+def _bsd(middle: str, *bullets: str) -> str:
+    return _BSD_HEAD.replace("{0}", bullets[0]).replace("{1}", bullets[1]) + middle + _BSD_TAIL
+
+
+#: Fixed values: (label, template).  Every template begins with two mandatory words.  A template is a whole one-line notice or the whole wording of a licence
+#: (of its customary notice for apache and gpl), from its grant to the end of its disclaimer.
 TEMPLATES = [
     ("mit", "released under the [[terms of the]] mit license"),
     ("mit", "licensed under the [[terms of the]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of {{work:1-8}} and associated documentation files"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of {{work:1-8}} and associated documentation files the software to deal in the "
+        "software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the "
+        "software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission "
+        "notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is provided as is without "
+        "warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall {{holder:1-20}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of "
+        "or in connection with the software or the use or other dealings in the software",
+    ),
     ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "licensed under the apache license [[version]] 2 0 the license you may not use {{work:1-6}} except in compliance with the license"),
+    (
+        "apache",
+        "licensed under the apache license [[version]] 2 0 the license you may not use {{work:1-6}} except in compliance with the license you may obtain a copy of the "
+        "license at {{scheme:1-1}} www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license "
+        "is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license",
+    ),
     ("gpl", "licensed under the gnu [[lesser]] general public license version {{number:1-1}}"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] general public license"),
+    *[("gpl", _GPL.format(work)) for work in ("program", "library")],
     ("cc-by", "licensed under [[a]] [[creative commons]] cc by {{number:1-1}} 0"),
     ("cc-by-nc", "licensed under [[a]] [[creative commons]] cc by nc {{number:1-1}} 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    *[
+        ("bsd", _bsd(middle, *bullets))
+        for bullets in (("1", "2"), ("a", "b"))
+        for middle in ("", f"[[{'3' if bullets[0] == '1' else 'c'}]] {_BSD_NAMES}", _BSD_ADVERTISING + _BSD_NAMES)
+    ],
+    (
+        "isc",
+        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright "
+        "notice and this permission notice appear in all copies the software is provided as is and {{author:1-10}} disclaims all warranties with regard to this software "
+        "including all implied warranties of merchantability and fitness in no event shall {{author:1-20}} be liable for any special direct indirect or consequential "
+        "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out "
+        "of or in connection with the use or performance of this software",
+    ),
 ]
 
 _MARKUP = re.compile(r"\[\[(.*?)\]\]|\{\{\w+:(\d+)-(\d+)\}\}|([^\s\[\]{}]+)")
