@@ -310,10 +310,30 @@ def raw_inventory(spark, sf_dir):
 def candidate_top3(spark, sf_dir):
     words = text.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("k")
     rows = _table(spark, sf_dir, "part").select("p_partkey", "p_brand", words)
-    found = similarity.candidates(rows.where("p_partkey % 2 = 0"), rows.where("p_partkey % 2 = 1"), ["p_brand"], "p_partkey", "k")
+    found = similarity.token_candidates(rows.where("p_partkey % 2 = 0"), rows.where("p_partkey % 2 = 1"), ["p_brand"], "p_partkey", "k")
     return found.withColumn("similarity", _round(F.col("similarity")))
 
 
+def _sections(spark, sf_dir):
+    """Documents as sections of two revisions, in groups of 32 that share a zone or a topic."""
+    group = F.floor(F.col("doc_id") / 32).cast("string")
+    zoned = F.floor(F.col("doc_id") / 32) % 2 == 0
+    heads = F.array(*[F.lit(t) for t in ("Permitted uses", "Lot requirements", "Signs", "General", "Conditional uses in")])
+    words = F.array_join(F.slice(F.split(text.norm_text(F.col("text")), " "), 1, 4), " ")
+    title = F.when(zoned, F.concat_ws(" ", F.get(heads, (F.col("doc_id") % 5).cast("int")), words)).otherwise(F.concat_ws(" ", F.lit("part"), group, words))
+    kind = F.when(F.col("doc_id") % 7 > 0, "zone")
+    return _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("key"), kind.alias("document_type"), F.when(zoned, group).alias("zone_code"), title.alias("title"), F.concat(F.lit("t"), group).alias("topic"), "text"
+    )
+
+
+@_register(None)
+def section_candidates(spark, sf_dir):
+    rows = _sections(spark, sf_dir)
+    found = similarity.candidates(rows.where("key % 2 = 0"), rows.where("key % 2 = 1"))
+    return found.withColumns({c: _round(F.col(c)) for c in ("score", "title_similarity", "text_similarity")})
+
+
 @_register(None)
 def title_ratio(spark, sf_dir):
     rows = _table(spark, sf_dir, "part").select("p_partkey", "p_name", F.lead("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey")).alias("other"))
