@@ -235,6 +235,18 @@ def measurements(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", _round(found[0]["metric"]).alias("metres"), _round(found[1]["metric"]).alias("area"), measure.comparator(body).alias("comparator"))
 
 
+@_register("""WITH u AS (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS place, unnest(['percent', 'percent', 'unit', 'ha', 'm2', 'm2', 'sq ft', 'ft', 'm']) AS unit,
+    unnest(['percent', 'percent', 'unit', 'ha', 'm2', 'm2', 'm2', 'm', 'm']) AS metric_unit, unnest([1, 1, 1, 1, 1, 1, 0.09290304, 0.3048, 1]::DOUBLE[]) AS factor)
+  SELECT p_partkey, place, unit, metric_unit, round(p_size * factor, 6) AS metric, CASE WHEN place % 3 = 0 THEN 'minimum' WHEN place % 3 = 1 THEN 'maximum' ELSE 'unknown' END AS comparator,
+    'height' AS subject FROM part, u""")
+def dimensional_texts(spark, sf_dir):
+    size, said = F.col("p_size").cast("string"), ["minimum height", "height shall not exceed", "height of"]
+    spelled = ["percent", "%", "units", "ha", "square meters", "sq. m", "square feet", "ft.", "metres (99 feet)"]
+    parts = [F.concat(F.lit(f" {said[at % 3]} "), size, F.lit(f" {name};")) for at, name in enumerate(spelled, 1)]
+    found = _table(spark, sf_dir, "part").select("p_partkey", F.posexplode(measure.standards(F.concat(*parts))).alias("place", "s"))
+    return found.select("p_partkey", (F.col("place") + 1).alias("place"), "s.unit", "s.metric_unit", _round(F.col("s.metric")).alias("metric"), "s.comparator", "s.subject")
+
+
 @_register("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_exists(props, '$.k') AS has_k FROM events""")
 def json_fields(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.array_contains(F.json_object_keys("props"), "k").alias("has_k"))
