@@ -25,6 +25,22 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+#: Exact similarities of all pairs of documents; equal sets are compared once, by the smallest id of each.
+_OP2 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(CASE WHEN len(w) < 2 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END) AS g FROM d),
+c AS (SELECT g, min(doc_id) AS rep, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+t AS MATERIALIZED (SELECT rep, n, unnest(g) AS token FROM c),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS common, any_value(a.n) + any_value(b.n) AS total FROM t a JOIN t b ON a.token = b.token AND a.rep < b.rep
+  AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.rep, b.rep),
+l AS MATERIALIZED (SELECT a, b FROM p WHERE 100 * common >= 80 * (total - common)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, label) AS (SELECT rep, rep FROM c UNION SELECT e.b, r.label FROM r JOIN e ON r.node = e.a),
+m AS (SELECT node, min(label) AS component FROM r GROUP BY node)
+SELECT doc_id, len(s.g)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept
+FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN m ON m.node = c.rep
+"""
+
 _OP6 = f"""
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -79,4 +95,4 @@ FROM e
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": _OP4, "op6_exact_dedup": _OP6, "op8_substring_dedup": _OP8, "op9_licences": _op9()}
+    return {"op2_minhash": _OP2, "op4_chat": _OP4, "op6_exact_dedup": _OP6, "op8_substring_dedup": _OP8, "op9_licences": _op9()}
