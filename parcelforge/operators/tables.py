@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_UNITS = r"sq\. ?ft|sq\.? ?m|square feet|square metres|acres?|hectares?|ha|feet|foot|ft|metres|meters|m"
-_AMOUNT = rf"\d+(?:,\d{{3}})*(?:\.\d+)?\s*(?:{_UNITS})\b\.?"
-_PAIRED = r"(?:(?<=m|metres|meters)\s*[(/]?\s*\d+(?:,\d{3})*(?:\.\d+)?\s*(?:feet|foot|ft)\b\.?\)?)?"
-
+from parcelforge.functions import measure
 
 def value_groups(value: Column) -> Column:
     """Measurements of a cell in order, an imperial equivalent with its metric value: ``6 m (20 ft) 8 m`` gives two."""
-    return F.transform(F.regexp_extract_all(value, F.lit(rf"(?i)({_AMOUNT}{_PAIRED})"), F.lit(1)), lambda g: F.trim(g))
+    return F.transform(measure.grouped(value), lambda g: g["raw"])
 
 
 def condition_rows(rows: DataFrame, requirement: str, values: list[str], conditions: list[list[str]]) -> DataFrame:
