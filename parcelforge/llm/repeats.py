@@ -93,12 +93,15 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
                 )
 
     digests = keyed.select("_id", "_t", F.sha2("_text", 256).alias("digest"))
+    # aggregates are written before the joins that use them, so that adaptive execution may split a hot key of the other side
     least = digests.groupBy("digest").agg(F.min("_id").alias("least"), F.max("_id").alias("most")).where("least < most")
+    least = write_table(least, "op8-least")
     copies = write_table(digests.join(least, "digest").where("_id > least").select("_id", "_t").distinct(), "op8-copies")
 
     choices = keyed.mapInArrow(screen, f"_id {kind}, _t bigint, place int, choice bigint")
     choices = write_table(choices.join(copies, ["_id", "_t"], "left_anti"), "op8-choices")
     shared = choices.groupBy("choice").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("choice")
+    shared = write_table(shared, "op8-shared")
     places = choices.join(shared, "choice").groupBy("_id", "_t").agg(F.collect_list("place").alias("places"))
 
     def candidates(one: np.ndarray, first: np.ndarray, marks: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -171,17 +174,18 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
     # 32 bits of a block's hash do for a probe: a false hit costs one window more, whose 128-bit hash decides
     rolling = write_table(near.select("_id", "_text", "places").mapInArrow(probe, f"_id {kind}, place int, block int"), "op8-probes")
     drop_table(choices)
-    anchors = (
-        rolling.groupBy("block")
-        .agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.max(F.col("place") % block == 0).alias("anchored"))
-        .where("low < high and anchored")
-        .select("block")
-    )
+    # the index holds the non-overlapping blocks of the documents with the smallest document of each; every rolling window probes it
+    index = rolling.where(F.col("place") % block == 0).groupBy("block").agg(F.min("_id").alias("ref"))
+    index = write_table(index, "op8-index")
+    probes = rolling.groupBy("block").agg(F.max("_id").alias("top"))  # of the windows with one block that of the largest id decides
+    anchors = write_table(probes.join(index, "block").where("top > ref").select("block"), "op8-anchors")
     hits = write_table(rolling.join(anchors, "block").groupBy("_id").agg(F.collect_list("place").alias("hits")), "op8-hits")
-    drop_table(rolling)
+    for table in (rolling, index, anchors, shared, least):
+        drop_table(table)
     near = keyed.join(places.join(hits, "_id"), ["_id", "_t"]).select("_id", "_t", "_text", "places", "hits")
     extended = write_table(near.mapInArrow(extend, f"_id {kind}, _t bigint, place int, run_a bigint, run_b bigint"), "op8-runs")
     firsts = extended.groupBy("run_a", "run_b").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high")
+    firsts = write_table(firsts, "op8-firsts")
     found = extended.join(firsts, ["run_a", "run_b"]).where("_id > low").groupBy("_id", "_t").agg(F.collect_list("place").alias("starts"))
     out = write_table(
         found.select("_id", "_t", F.lit(False).alias("whole"), "starts").unionByName(
@@ -189,7 +193,7 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
         ),
         "op8-found",
     )
-    for table in (places, hits, extended, copies):
+    for table in (places, hits, extended, firsts, copies):
         drop_table(table)
     return out
 
