@@ -74,8 +74,8 @@ class BinaryFuse:
         return np.bitwise_xor.reduce(self.table[slots], axis=0) == prints
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
-    return np.array([int(d[-16:], 16) for d in digests], dtype=np.uint64)
+def _keys(hashes: pd.Series) -> np.ndarray:
+    return hashes.to_numpy(dtype=np.int64).view(np.uint64)
 
 
 def _normalised(text: Column) -> Column:
@@ -95,16 +95,16 @@ def digests(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def snapshot(distinct: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """(exact buckets, filters) of distinct digests: a table with ``bucket`` and one filter row per bucket."""
-    dealt = write_table(distinct.withColumn("bucket", _bucket(buckets)), "op6-buckets")
+    dealt = write_table(distinct.withColumns({"bucket": _bucket(buckets), "key": F.xxhash64("digest")}), "op6-buckets")
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        fuse = BinaryFuse.build(_keys(part["digest"]))
+        fuse = BinaryFuse.build(_keys(part["key"]))
         return pd.DataFrame(
             {"bucket": [part["bucket"].iloc[0]], "seed": [fuse.seed], "segment": [fuse.segment], "span": [fuse.span], "table": [fuse.table.tobytes()]}
         )
 
     schema = "bucket int, seed int, segment int, span long, table binary"
-    filters = dealt.select("bucket", "digest").groupBy("bucket").applyInPandas(build, schema)
+    filters = dealt.select("bucket", "key").groupBy("bucket").applyInPandas(build, schema)
     return dealt, write_table(filters, "op6-filters")
 
 
@@ -120,12 +120,21 @@ def screen(distinct: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
             return pd.DataFrame({"digest": pd.Series([], dtype=str)})
         row = filter_rows.iloc[0]
         fuse = BinaryFuse(int(row["seed"]), int(row["segment"]), int(row["span"]), np.frombuffer(row["table"], dtype=np.uint16))
-        return part.loc[fuse.contains(_keys(part["digest"])), ["digest"]]
+        return part.loc[fuse.contains(_keys(part["key"])), ["digest"]]
 
-    dealt = distinct.select("digest", _bucket(buckets).alias("bucket"))
+    dealt = distinct.select("digest", F.xxhash64("digest").alias("key"), _bucket(buckets).alias("bucket"))
     return dealt.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest string")
 
 
+def _by_bytes(documents: DataFrame, rows: DataFrame, split: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows with their classes where a digest stands for several texts: members of such digests find their class by their bytes."""
+    clashing = split.where("texts > 1").select("digest")
+    plain = rows.join(split.where("texts = 1"), "digest", "left").join(clashing, "digest", "left_anti")
+    texts = digests(documents, id_col=id_col, text_col=text_col, with_text=True).join(clashing.hint("merge"), "digest")
+    found = texts.join(classes.select("norm", "keep_id", "group_size"), "norm").select("id", "digest", "keep_id", "group_size")
+    return plain.select("id", "digest", "keep_id", "group_size").unionByName(found)
+
+
 def deduplicate(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) for every row.
 
@@ -153,18 +162,16 @@ def deduplicate(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
     repeated = write_table(
         across.unionByName(grouped.where("n > 1").select("digest")).distinct(), "op6-repeated"
     )
-    # Byte checks: texts of repeated digests only, grouped by their bytes; one join strategy at every size.
+    # Byte checks: texts of repeated digests only, grouped by their bytes; one join strategy at every size.  The join may
+    # split a hot digest over tasks, and the grouping by text sends one row of each text and task.
     same = digests(documents, id_col=id_col, text_col=text_col, with_text=True).join(repeated.hint("merge"), "digest")
-    same = write_table(same.groupBy("digest", "norm", "id").agg(F.count(F.lit(1)).alias("k")), "op6-same")
-    classes = same.groupBy("digest", "norm").agg(F.max("id").alias("keep_id"), F.sum("k").alias("group_size"))
+    classes = same.groupBy("norm").agg(F.first("digest").alias("digest"), F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    classes = write_table(classes, "op6-texts")
     split = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
     split = write_table(split, "op6-classes")
-    out = rows.join(split, "digest", "left")
     clash = split.where("texts > 1").count()
-    if clash:  # one digest, several texts: members find their class by their bytes
-        by_text = same.join(classes, ["digest", "norm"]).select("digest", "id", "keep_id", "group_size").distinct()
-        out = rows.join(by_text, (rows["digest"] == by_text["digest"]) & rows["id"].eqNullSafe(by_text["id"]), "left").select(rows["*"], "keep_id", "group_size")
-    for table in (grouped, exact, filters, positive, repeated) + (() if clash else (same,)):
+    out = _by_bytes(documents, rows, split, classes, id_col, text_col) if clash else rows.join(split, "digest", "left")
+    for table in (grouped, exact, filters, positive, repeated) + (() if clash else (classes,)):
         drop_table(table)
     size = F.coalesce("group_size", F.lit(1)).cast("long")
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
