@@ -48,7 +48,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return packed.select("sequence_id", "size", "used", F.col("ids").alias("doc_ids"), "pieces", "starts", "offsets", "lengths", F.sha2("content", 256).alias("content_sha256"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

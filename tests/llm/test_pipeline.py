@@ -77,23 +77,13 @@ def test_pipeline(spark, folder):
     assert not {i for i in want if 60 <= i < 80} and len(want) > 50  # the rude go, the calm stay
     assert 0 not in want and 81 in want and 82 not in want and 83 in want and 84 in want  # of equal texts the largest id stays
     pieces = {}
-    bins = {}
     for r in corpus_pipeline.run(spark, folder).collect():
-        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
-        bins.setdefault(r["bin_id"], []).append((r["bin_offset"], r["length"], r["bin_size"]))
-    assert pieces.keys() == want.keys()
-    for i, got in pieces.items():  # every byte of the text that is left stands in one place
-        at = 0
-        for start, length in sorted(got):
-            assert start == at
-            at += length
-        assert at == len(want[i].encode())
-    for placed in bins.values():
-        at = 0
-        for offset, length, size in sorted(placed):
-            assert offset == at and size in packing.SIZES
-            at += length
-        assert at <= placed[0][2] and not any(at <= s < placed[0][2] for s in packing.SIZES)
+        body = r["content"].encode()
+        assert len(body) == r["used"] <= r["size"] and r["size"] in packing.SIZES
+        for i, piece, offset, length in zip(r["doc_ids"], r["pieces"], r["offsets"], r["lengths"], strict=True):
+            pieces.setdefault(i, []).append((piece, body[offset : offset + length]))
+    # every byte of the text that is left stands in one place
+    assert {i: b"".join(x for _, x in sorted(own)).decode() for i, own in pieces.items()} == want
 
 
 def test_stages_keep_texts(spark, folder):
