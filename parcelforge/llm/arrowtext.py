@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_KEPT = (1 << 18) + 2
 _BYTE_VALUES = np.random.default_rng(20240917).integers(1, 2**63, size=(2, 256), dtype=np.uint64)
 
 
@@ -78,14 +79,14 @@ def segment(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[n
 def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 18)
+        size = max(n, _KEPT)
         out = []
         for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             row = np.full(size, base, dtype=np.uint64)
             row[0] = 1
             out.append(np.cumprod(row, dtype=np.uint64))
         have = (out[0], out[1])
-        if size <= 1 << 22:
+        if size <= _KEPT:  # tables for longer texts go with them
             _POWERS[which] = have
     return have
 
@@ -106,7 +107,14 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: i
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    return span_hash(_BYTE_VALUES[which][data], starts, ends, which)
+    """Hash of each word; long texts go in runs of words of about _KEPT bytes, which bounds the memory beyond the result."""
+    out, at = np.empty(len(starts), dtype=np.uint64), 0
+    while at < len(starts):
+        base = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, base + _KEPT - 2, side="right")))
+        out[at:to] = span_hash(_BYTE_VALUES[which][data[base : int(ends[to - 1])]], starts[at:to] - base, ends[at:to] - base, which)
+        at = to
+    return out
 
 
 def gram_hashes(words: np.ndarray, k: int, which: int = 0) -> np.ndarray:

@@ -9,17 +9,18 @@ from parcelforge.llm.spill import drop_table, write_table
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """One star step, written.  The least neighbours are written first: a plain join of two tables may split a hub's rows over tasks."""
     if large:  # each node sends its larger neighbours to the least of its neighbourhood
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = both.join(least, "a").where("b > a")
-        return joined.select(F.col("m").alias("a"), "b").where("a <> b")
-    # each node hangs itself and its smaller neighbours under the least of them; edges are a < b here
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
-    joined = edges.join(least, "b")
-    return (
-        joined.select(F.col("m").alias("x"), F.col("a").alias("y")).where("x <> y").unionByName(joined.select(F.col("m").alias("x"), F.col("b").alias("y")))
-    ).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        least = write_table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components")
+        moved = edges.join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b")  # edges are a < b
+    else:  # each node hangs itself and its smaller neighbours under the least of them
+        least = write_table(edges.groupBy("b").agg(F.min("a").alias("m")), "components")
+        ends = F.explode(F.array_distinct(F.array(F.col("a"), F.col("b"))))
+        moved = edges.join(least, "b").select("m", ends.alias("y")).where("m <> y").select(F.least("m", "y").alias("a"), F.greatest("m", "y").alias("b"))
+    out = write_table(moved.distinct(), "components")
+    drop_table(least)
+    return out
 
 
 def _sign(edges: DataFrame) -> tuple:
@@ -38,8 +39,8 @@ def components(links: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     edges = write_table(edges, "components")
     sign = _sign(edges)
     for _ in range(max_rounds):
-        large = write_table(_star(edges, True).distinct(), "components")
-        small = write_table(_star(large, False).distinct(), "components")
+        large = _star(edges, True)
+        small = _star(large, False)
         now = _sign(small)
         drop_table(edges)
         drop_table(large)

@@ -10,7 +10,9 @@ confirm each link.  Links become groups by connected components.
 No bucket is expanded into its pairs.  Its members are compared with one hub, the
 member that meets most others.  The members of buckets that still hold several
 groups are then joined on their rarest shingles, which every linked pair shares
-(the prefix filter of set-similarity joins), and only across groups.
+(the prefix filter of set-similarity joins), and only across groups.  The
+likelihood only sorts pairs: those it drops are still in such a bucket, and the
+exact join decides them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import WORD, gram_hashes, lower, mix, segment, slices, word_hashes
@@ -31,8 +33,12 @@ from parcelforge.llm.spill import drop_table, write_table
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 BASE = 1.02
-#: Pairs whose estimate lies this far below the threshold (over six standard errors) are not verified.
+#: Hub pairs whose estimate lies this far below the threshold are left to the exact join.
 SLACK = 0.18
+#: Sets of more shingles are kept in parts of about so many, cut at fixed places of the hash range.
+PART_BITS = 16
+#: Shingles of members that meet one copy of a hub's set in a task; larger hubs are dealt over several copies.
+HUB_SHINGLES = 1 << 20
 
 _rng = np.random.default_rng(7)
 _MUL = (_rng.integers(0, 2**31, size=REGISTERS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -120,8 +126,13 @@ def estimate(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.ndar
     return (low + high) / 2
 
 
-def sketch(documents: DataFrame, *, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, set_a, set_b, regs, bands): set_a/set_b are a 128-bit digest of the set."""
+def _vertex(one: str = "id", digest: str = "set_a") -> Column:
+    """What stands for a set: its smallest id (a null id after all others) and a digest, since an id may repeat with other texts."""
+    return F.struct(F.col(one).isNull().alias("none"), F.col(one).alias("id"), F.col(digest).alias("digest"))
+
+
+def sketch(documents: DataFrame, *, shingle: int, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
+    """(id, n, set_a, set_b, regs, bands[, _carry]): set_a/set_b are a 128-bit digest of the set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,35 +154,70 @@ def sketch(documents: DataFrame, *, shingle: int, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
+                        *rows.columns[2:],
                         pa.array(sizes),
                         pa.array(digests[0].view(np.int64)),
                         pa.array(digests[1].view(np.int64)),
                         blob,
                         pa.ListArray.from_arrays(pa.array(edges * np.int32(BANDS)), pa.array(keys.ravel())),
                     ],
-                    names=["id", "n", "set_a", "set_b", "regs", "bands"],
+                    names=["id", *rows.schema.names[2:], "n", "set_a", "set_b", "regs", "bands"],
                 )
 
-    kind = documents.schema[id_col].dataType.simpleString()
-    texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return texts.mapInArrow(run, f"id {kind}, n bigint, set_a bigint, set_b bigint, regs binary, bands array<bigint>")
+    more = [F.struct(*carry).alias("_carry")] if carry else []
+    texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *more)
+    own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in texts.schema if f.name != "_text")
+    return texts.mapInArrow(run, own + "n bigint, set_a bigint, set_b bigint, regs binary, bands array<bigint>")
+
+
+def _level(n: Column) -> Column:
+    """Binary digits of the number of parts that a set of ``n`` shingles is kept in."""
+    over = F.shiftright(n - 1, PART_BITS)
+    return F.when(over <= 0, 0).otherwise(F.length(F.bin(over))).cast("int")
+
+
+def _parts(shingles: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, shingles) of one ascending set."""
+    level = (max(len(shingles) - 1, 0) >> PART_BITS).bit_length()
+    if not level:
+        yield 0, shingles
+        return
+    edges = np.searchsorted(shingles >> np.uint64(64 - level), np.arange((1 << level) + 1, dtype=np.uint64))
+    for part, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        yield part, shingles[lo:hi]
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame, *, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles array<long>) of the documents in ``wanted`` (id)."""
+    """(id, part, shingles array<long>) of the vertices in ``wanted`` (id), and of other texts that share their ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "_text"):
                 shingles, sizes = document_sets(data, offsets, shingle)
-                edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                full = np.flatnonzero(sizes)
+                if not len(full):
+                    continue
+                ends = np.cumsum(sizes[full])
+                digest = np.add.reduceat(mix(shingles + np.uint64(1)), ends - sizes[full])
+                owner, parts, pieces = [], [], []
+                for d, end, n in zip(range(len(full)), ends.tolist(), sizes[full].tolist(), strict=True):
+                    for part, piece in _parts(shingles[end - n : end]):
+                        owner.append(d)
+                        parts.append(part)
+                        pieces.append(piece)
+                edges = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(pieces).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.ListArray.from_arrays(pa.array(edges), pa.array(shingles.view(np.int64)))], names=["id", "shingles"]
+                    [rows.column(0).take(pa.array(full[owner])), pa.array(digest.view(np.int64)[owner]), pa.array(parts, pa.int32()), lists],
+                    names=["id", "digest", "part", "shingles"],
                 )
 
     kind = documents.schema[id_col].dataType.simpleString()
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return texts.join(wanted, "id", "left_semi").mapInArrow(run, f"id {kind}, shingles array<bigint>")
+    ids = wanted.select(F.col("id.id").alias("_wanted")).distinct()
+    texts = texts.join(ids, texts["id"].eqNullSafe(ids["_wanted"]), "left_semi")
+    found = texts.mapInArrow(run, f"id {kind}, digest bigint, part int, shingles array<bigint>")
+    return found.select(_vertex("id", "digest").alias("id"), "part", "shingles")
 
 
 def _likely(pairs: DataFrame, least: float) -> DataFrame:
@@ -195,22 +241,33 @@ def _rare_partners(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different labels that can reach the threshold, from (id, n, label, shingles).
 
     Two sets of similarity t share one of the n - ceil(t n) + 1 shingles that come
-    first in each under any common order; with the rarest first, few sets do.
+    first in each under any common order; with the rarest first, few sets do.  Of a
+    pair, the smaller set needs only its first n - ceil(2 t n / (1 + t)) + 1, so
+    those alone are one side of the join.
     """
     tokens = write_table(rows.select("id", "n", "label", F.explode("shingles").alias("token")), "op2-tokens")
-    count = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(count, "token").groupBy("id", "n", "label").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
-    first = F.slice("all", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    rare = write_table(ranked.select("id", "n", "label", F.posexplode(first).alias("place", "x")).where("x.df > 1").select("id", "n", "label", "place", F.col("x.token").alias("token")), "op2-rare")
+    count = write_table(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "op2-counts")
+    # a sort, not arrays, ranks the shingles of a set, so that long texts spill; equal ranks are repeats of one row
+    order = Window.partitionBy("id", "label").orderBy("df", "token")
+    ranked = tokens.join(count, "token").withColumn("place", F.dense_rank().over(order) - 1)
+    placed = ranked.where(f"place < n - ceil(n * {percent} / 100) + 1 and df > 1").distinct()
+    rare = write_table(placed.select("id", "n", "label", "place", "token"), "op2-rare")
     drop_table(tokens)
+    drop_table(count)
     mixed = rare.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    rare = rare.join(mixed, "token")
-    other = rare.select("token", F.struct("id", "n", "label", "place").alias("h"))
+    mixed = write_table(mixed, "op2-mixed")
+    live = write_table(rare.join(mixed, "token"), "op2-live")
+    drop_table(rare)
+    drop_table(mixed)
     # at the first shingle that both hold, at least `need` must be left in each, itself included
-    close = f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)"
     need = f"ceil({percent} * (n + h.n) / {100 + percent})"
-    met = rare.join(other, "token").where(f"label < h.label and {close} and n - place >= {need} and h.n - h.place >= {need}")
-    return met.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
+    small = live.where(f"n - place >= ceil(2 * {percent} * n / {100 + percent})")
+    large = live.select("token", F.struct("id", "n", "label", "place").alias("h"))
+    ordered = "(n < h.n OR n = h.n AND id < h.id)"
+    met = small.join(large, "token").where(f"{ordered} and label <> h.label and 100 * n >= {percent} * h.n and n - place >= {need} and h.n - h.place >= {need}")
+    pairs = write_table(met.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct(), "op2-pairs")
+    drop_table(live)
+    return pairs
 
 
 def near_duplicates(
@@ -220,8 +277,9 @@ def near_duplicates(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row.
+    """(id, n_shingles, component_id, kept[, _carry]) for every row.
 
     A-Z are lower-cased, words are ``[^\\x20\\x09-\\x0D]+`` of the whole text.  Two
     documents are linked when 100 * |A and B| >= percent * |A or B| for their sets of
@@ -229,67 +287,118 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable over links and ``kept`` marks the
     document that carries it.
 
-    A null or empty text has an empty set, n_shingles 0, and is linked with
-    nothing.  Equal sets are one vertex until the end, so large groups of copies
-    cost one sketch each.  Rows that repeat an id are one vertex and repeat their
-    result; a row with a null id belongs to the group of its set, where any other
-    id is smaller, and is kept only if that group has none; an empty table gives
-    an empty result; other columns are not read.
+    A null or empty text has an empty set, n_shingles 0, is linked with nothing
+    and kept.  Equal sets are one vertex until the end, so large groups of copies
+    cost one sketch each.  Rows that repeat an id are judged by their own texts;
+    of a group, the rows with the smallest id and that row's set are kept (of two
+    sets with that id the one with the smaller digest).  A null id comes after
+    all others, so it is kept, and ``component_id`` is null, only where a group
+    has no other.  An empty table gives an empty result; ``carry`` names columns
+    that come along in a struct ``_carry``, others are not read.
     """
-    sketches = write_table(sketch(documents, shingle=shingle, id_col=id_col, text_col=text_col), "op2-sketches")
+    sketches = write_table(sketch(documents, shingle=shingle, id_col=id_col, text_col=text_col, carry=carry), "op2-sketches")
     classes = write_table(
-        sketches.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("id").alias("rep")), "op2-classes"
+        sketches.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min(_vertex()).alias("rep")), "op2-classes"
     )
-    heads = sketches.join(
-        classes.select("n", "set_a", "set_b", F.col("rep").alias("id")), ["n", "set_a", "set_b", "id"], "left_semi"
-    ).dropDuplicates(["id", "set_a", "set_b"])
+    heads = sketches.where("n > 0").select(_vertex().alias("id"), "n", "set_a", "set_b", "regs", "bands").join(
+        classes.withColumnRenamed("rep", "id"), ["n", "set_a", "set_b", "id"], "left_semi"
+    ).dropDuplicates(["id"])
     heads = write_table(heads.select("id", "n", "regs", "bands"), "op2-heads")
     bands = heads.select("id", "n", F.explode("bands").alias("key"))
+    # aggregates are written before the joins that use them, so that adaptive execution may split a hot key of the other side
     buckets = bands.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("members"))
-    met = write_table(bands.join(buckets.where("least < most"), "key").select("key", "id", "n", "members"), "op2-met")
+    buckets = write_table(buckets.where("least < most").select("key", "members"), "op2-buckets")
+    met = write_table(bands.join(buckets, "key").select("key", "id", "n", "members"), "op2-met")
+    drop_table(buckets)
     # the hub is the member that meets most others over all its buckets: the one the others are copies of, if it is there
     fame = met.groupBy("id").agg(F.sum("members").alias("fame"))
+    fame = write_table(fame, "op2-fame")
     famed = write_table(met.join(fame, "id").select("key", "id", "n", "fame"), "op2-met")
     drop_table(met)
+    drop_table(fame)
     met = famed
     hubs = met.groupBy("key").agg(F.min(F.struct((-F.col("fame")).alias("fame"), "id", "n")).alias("h"))
     sets = write_table(
         _shingle_sets(documents, met.select("id").distinct(), shingle=shingle, id_col=id_col, text_col=text_col), "op2-sets"
     )
+    if sets.count() > sets.select("id", "part").distinct().count():  # rows that repeat id and set
+        once = write_table(sets.dropDuplicates(["id", "part"]), "op2-sets")
+        drop_table(sets)
+        sets = once
     brief = heads.select("id", "n", "regs")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose joint estimate lets them be links."""
         pairs = pairs.join(brief.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
         pairs = pairs.join(brief.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b")
-        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        pairs = _likely(pairs, percent / 100 - SLACK)
-        pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-        pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        pairs = pairs.withColumn("both", both)
-        return pairs.where(f"100 * both >= {percent} * (size(sa) + size(sb) - both)").select("a", "b")
+        return _likely(pairs, percent / 100 - SLACK)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links on their full sets.
+
+        The end that has more pairs is the hub: its set is copied once for each
+        HUB_SHINGLES of its members, while each member's set travels with its pair.
+        """
+        many = write_table(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("k")), "op2-degrees")
+        one, two = (many.select(F.col("id").alias(c), F.col("k").alias(f"k{c}")) for c in "ab")
+        turned = pairs.join(one, "a").join(two, "b").select(
+            F.when(F.col("ka") >= F.col("kb"), F.col("a")).otherwise(F.col("b")).alias("hub"),
+            F.when(F.col("ka") >= F.col("kb"), F.col("b")).otherwise(F.col("a")).alias("id"),
+        )
+        sizes = brief.select("id", "n")
+        turned = turned.join(sizes, "id").join(sizes.select(F.col("id").alias("hub"), F.col("n").alias("hub_n")), "hub")
+        turned = turned.withColumn("level", F.least(_level(F.col("n")), _level(F.col("hub_n"))))  # at which the parts of both are compared
+        turned = write_table(turned, "op2-turned")
+        copies = write_table(
+            turned.groupBy("hub", "level").agg((F.floor(F.sum("n") / HUB_SHINGLES) + 1).cast("int").alias("copies")), "op2-copies"
+        )
+        met = turned.join(copies, ["hub", "level"]).withColumn("copy", F.pmod(F.xxhash64("id"), F.col("copies")).cast("int")).drop("copies")
+        coarse = lambda part, n: F.expr(f"shiftright({part}, {n} - level)")
+        met = met.join(sets.select("id", F.col("part").alias("at"), F.col("shingles").alias("one")), "id")
+        met = met.withColumn("own", _level(F.col("n"))).withColumn("part", coarse("at", "own"))
+        hubs = sets.join(copies.withColumnRenamed("hub", "id"), "id").join(sizes, "id").withColumn("own", _level(F.col("n")))
+        hubs = hubs.select(
+            F.col("id").alias("hub"), "level", coarse("part", "own").alias("part"), F.col("shingles").alias("two"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
+        )
+        met = met.join(hubs, ["hub", "level", "copy", "part"]).select("hub", "id", "n", "hub_n", F.size(F.array_intersect("one", "two")).alias("both"))
+        met = met.groupBy("hub", "id", "n", "hub_n").agg(F.sum("both").alias("both"))
+        met = met.where(f"100 * both >= {percent} * (n + hub_n - both)")
+        links = write_table(met.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")), "op2-links")
+        for table in (many, turned, copies):
+            drop_table(table)
+        return links
 
     def ordered(one: str, two: str) -> list:
         return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
     close = f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)"  # no link without it
-    tried = write_table(met.join(hubs, "key").where(f"id <> h.id and {close}").select(*ordered("id", "h.id")).distinct(), "op2-tried")
-    links = write_table(verified(tried), "op2-links")
+    hubs = write_table(hubs, "op2-hubs")
+    tried = write_table(likely(met.join(hubs, "key").where(f"id <> h.id and {close}").select(*ordered("id", "h.id")).distinct()), "op2-tried")
+    drop_table(hubs)
+    links = verified(tried)
     labels = write_table(components(links), "op2-labels")
     marked = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
+    marked = write_table(marked, "op2-marked")
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    mixed = write_table(mixed, "op2-mixed")
     unsure = write_table(marked.join(mixed, "key").select("id", "n", "label").distinct(), "op2-open")
-    drop_table(met)
-    fresh = write_table(_rare_partners(sets.join(unsure, "id"), percent).join(tried, ["a", "b"], "left_anti"), "op2-tried")
-    more = write_table(verified(fresh), "op2-links")
-    drop_table(labels)
+    for table in (met, marked, mixed, labels):
+        drop_table(table)
+    pairs = _rare_partners(sets.join(unsure, "id"), percent)
+    fresh = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "op2-fresh")
+    more = verified(fresh)
     labels = write_table(components(links.unionByName(more)), "op2-labels")
-    for table in (heads, sets, links, more, tried, fresh, unsure):
+    for table in (heads, sets, links, more, tried, pairs, fresh, unsure):
         drop_table(table)
     whole = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "n", "set_a", "set_b", F.coalesce("component", "rep").alias("component")
     )
-    out = sketches.select("id", "n", "set_a", "set_b").join(whole, ["n", "set_a", "set_b"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    out = sketches.drop("regs", "bands").join(whole, ["n", "set_a", "set_b"], "left")
+    own = F.when(F.col("n") > 0, _vertex())
+    return out.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component.id")).otherwise(F.col("id")).alias("component_id"),
+        own.eqNullSafe(F.col("component")).alias("kept"),
+        *["_carry"] * bool(carry),
+    )

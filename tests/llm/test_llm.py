@@ -176,18 +176,6 @@ def test_chat(spark):
         chat.parse("<s>[INST]\nno end")
 
 
-def test_packing(docs):
-    lengths = np.random.default_rng(4).integers(0, 16385, 500)
-    bins, offsets, size = packing.pack(lengths)
-    for b in np.unique(bins):
-        own = np.flatnonzero(bins == b)
-        assert lengths[own].sum() <= size[own][0] and all(lengths[own].sum() > s or s == size[own][0] for s in packing.SIZES if s < size[own][0] or s == size[own][0])
-        order = own[np.lexsort((lengths[own], offsets[own]))]
-        assert (offsets[order] == np.cumsum(lengths[order]) - lengths[order]).all()
-    rows = packing.pack_documents(docs).collect()
-    assert sum(r["length"] for r in rows) == sum(len((t or "").encode()) for _, t in ROWS)
-
-
 def test_toxicity_learns():
     rng = np.random.default_rng(0)
     words = [f"word{i}" for i in range(300)]
@@ -221,3 +209,70 @@ def test_toxicity_gradients():
         down = net.forward(net.inputs(words), ids).sum()
         net.p[k][at] = keep
         assert abs((up - down) / (2 * step) - grads[k][at]) < 1e-2 * max(1, abs(grads[k][at]))
+
+
+def test_near_long_sets(spark):
+    """Sets kept in parts: pairs of one level and over a level, and one that shares its id with another text."""
+    base = [f"w{i}" for i in range(70_000)]
+    rows = [(1, base), (2, base[:64_000]), (3, base[:60_000] + [f"z{i}" for i in range(10_000)]), (4, base[:50_000] + [f"y{i}" for i in range(20_000)]), (4, ["short", "text"]), (4, ["short", "text"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for _, w in rows]
+    linked = {(a, b) for a in range(3) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked == {(1, 0), (2, 1)} and 100 * len(sets[3] & sets[0]) < 80 * len(sets[3] | sets[0])
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True), (4, 4, True)]
+
+
+def test_near_null_and_repeated_ids(spark):
+    near = " ".join(f"n{i}" for i in range(80))
+    rows = [(None, near), (7, near + " tail"), (7, "quite another text that stays"), (None, "alone"), (None, "lead " + PASSAGE), (None, PASSAGE + " tail"), (9, near + " tail")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, k int")
+    got = {r["_carry"]["k"]: (r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs, carry=["k"]).collect()}
+    assert {k: got[k] for k in (0, 1, 2, 3, 6)} == {0: (7, False), 1: (7, True), 2: (7, True), 3: (None, True), 6: (7, False)}
+    assert sorted(got[k][1] for k in (4, 5)) == [False, True] and got[4][0] is got[5][0] is None
+
+
+def test_exact_split_by_bytes(docs, monkeypatch):
+    """One digest for several texts: the classes are those of the texts."""
+    monkeypatch.setattr(exactdup, "digests", lambda d, **k: _short_digests(d, **k))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exactdup.deduplicate(docs).collect()}
+    monkeypatch.undo()
+    assert got == {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exactdup.deduplicate(docs).collect()}
+
+
+def _short_digests(documents, *, id_col="doc_id", text_col="text", with_text=False):
+    rows = documents.select(F.col(id_col).alias("id"), exactdup._normalised(F.col(text_col)).alias("norm"))
+    return rows.select("id", F.sha2(F.substring("norm", 1, 1), 256).alias("digest"), *["norm"] * with_text)
+
+
+def word_hash(word):
+    import xxhash
+
+    return xxhash.xxh64(word.encode(), seed=42).intdigest()
+
+
+def plain_fingerprint(text):
+    """Each word votes with its weight for the bits of its hash; a bit is set by more than half of the weight."""
+    votes, total = [0] * 64, 0
+    for word in WORD.findall(text):
+        weight = 1 if len(word) <= 3 else len(word)
+        total += weight
+        for j in range(64):
+            votes[j] += weight * (word_hash(word) >> j & 1)
+    return sum(1 << j for j in range(64) if 2 * votes[j] > total)
+
+
+def test_simhash_equals_plain_votes(docs):
+    rows = sorted({i: t or "" for i, t in ROWS}.items())
+    want = {}
+    for k, (i, text) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + nxt[:half]
+        one, two, three = (plain_fingerprint(t) for t in (text, edited, nxt))
+        want[i] = (len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{one:016x}", f"{two:016x}", 1 - (one ^ two).bit_count() / 64, 1 - (one ^ three).bit_count() / 64)
+    got = {r["doc_id"]: tuple(r[c] for c in ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")) for r in simhash.fingerprint_report(docs.dropDuplicates(["doc_id"])).collect()}
+    assert got == want
+    near = {i: sum((int(want[i][2], 16) ^ int(w[2], 16)).bit_count() <= 3 for w in want.values()) for i in want if i % 100 == 0}
+    found = {r["doc_id"]: r["n_near"] for r in simhash.fingerprint_report(docs.dropDuplicates(["doc_id"])).collect()}
+    assert {i: found[i] for i in near} == near and all(found[i] is None for i in want if i % 100)
