@@ -4,7 +4,10 @@ Each word enters with a word embedding and the element-wise maximum of its
 character n-gram embeddings (both hashed).  Two gated recurrent layers read a
 window in both directions, attention pools their states, and a logistic unit
 scores the window.  All windows of WIDTH words at STRIDE are scored, so that
-neighbours overlap by half; a document's score is that of its highest window.
+each word lies in four of them and any run of 25 words whole in one; a document's
+score is that of its highest window.  The first dimension of each embedding is
+set, before training, to the clipped excess of its bucket among toxic documents
+of one half of the sample (a log-odds table); the rest is random.
 """
 
 from __future__ import annotations
@@ -16,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelforge.llm.arrowtext import ALNUM, _BYTE_VALUES, lower, ragged, segment, slices, span_hash
+from parcelforge.llm.arrowtext import ALNUM, _BYTE_VALUES, lower, ragged, segment, slices, span_hash, word_hashes
 
-WIDTH, STRIDE = 32, 16
+#: Words of a window, words between the starts of neighbours when scoring, and when training.
+WIDTH, STRIDE, TRAINING_STRIDE = 32, 8, 16
 BUCKETS, DIM, HIDDEN, ATTENTION = 1 << 15, 8, 8, 8
 #: Bound of the training sample: labelled rows of each class (those with the least hash of the id) and their longest text.
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 2000, 65_536
+#: Windows that go through the network together.
+BLOCK = 4096
 EPOCHS, LEAST_STEPS, BATCH, RATE = 6, 300, 32, 0.01
 GRAMS = (3, 4, 5)
 
@@ -32,7 +38,7 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         low = lower(data)
         starts, ends, self.first = segment(low, offsets, ALNUM)
-        hashes = span_hash(_BYTE_VALUES[0][low], starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        hashes = word_hashes(low, starts, ends)
         unique, at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
         self.bucket = (unique % np.uint64(BUCKETS)).astype(np.int64)
         # distinct words laid out with a mark on both sides
@@ -52,16 +58,25 @@ class Words:
         order = np.argsort(owner, kind="stable")
         self.gram, self.gram_first = np.concatenate(grams)[order].astype(np.int32), np.searchsorted(owner[order], np.arange(len(at) + 1))
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """(windows x WIDTH word numbers with -1 beyond the text, first window of each document); at least one per document."""
+    def starts(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word of each window, end of its document, first window of each document); at least one window per document."""
         count = np.diff(self.first)
-        each = np.maximum(1, -(-(count - (WIDTH - STRIDE)) // STRIDE))
-        start = np.repeat(self.first[:-1], each) + STRIDE * ragged(np.zeros(len(each), np.int64), each)
+        each = np.maximum(1, -(-(count - (WIDTH - stride)) // stride))
+        start = np.repeat(self.first[:-1], each) + stride * ragged(np.zeros(len(each), np.int64), each)
+        return start, np.repeat(self.first[1:], each), np.concatenate([[0], np.cumsum(each)])
+
+    def words_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Windows x WIDTH word numbers, -1 beyond the text."""
         at = start[:, None] + np.arange(WIDTH)
-        inside = at < np.repeat(self.first[1:], each)[:, None]
+        inside = at < end[:, None]
         ids = np.full(at.shape, -1, dtype=np.int32)
         ids[inside] = self.word[at[inside]]
-        return ids, np.concatenate([[0], np.cumsum(each)])
+        return ids
+
+    def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers of all windows, first window of each document)."""
+        start, end, first = self.starts(stride)
+        return self.words_of(start, end), first
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -166,14 +181,16 @@ class Network:
             np.add.at(g["gram"], (best, np.arange(DIM)), d_in[w, DIM:])
         return g
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def scores(self, data: np.ndarray, offsets: np.ndarray, stride: int = STRIDE) -> np.ndarray:
         """Score of each document: that of its highest window."""
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
         words = Words(data, offsets)
-        ids, first = words.windows()
-        logits = self.forward(self.inputs(words), ids)
-        return _sigmoid(np.maximum.reduceat(logits, first[:-1]).astype(np.float64))
+        table = self.inputs(words)
+        start, end, first = words.starts(stride)
+        # windows go in blocks, so the states in memory do not grow with the text
+        logits = [self.forward(table, words.words_of(start[at : at + BLOCK], end[at : at + BLOCK])) for at in range(0, len(start), BLOCK)]
+        return _sigmoid(np.maximum.reduceat(np.concatenate(logits), first[:-1]).astype(np.float64))
 
 
 def _odds(texts: list[str], labels: np.ndarray, chunk: int = 64) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +243,7 @@ def train(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
     for at in range(0, len(rest), BATCH):
         pick = rest[at : at + BATCH]
         words = Words(*_layout([texts[i] for i in pick]))
-        batches.append((pick, words, *words.windows()))
+        batches.append((pick, words, *words.windows(TRAINING_STRIDE)))
     for epoch in range(epochs):
         rng.shuffle(batches)
         for pick, words, ids, first in batches:
@@ -263,21 +280,35 @@ def held_out(id_column):
     return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))), F.lit(5)) == 0
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network:
+def fit(
+    documents: DataFrame,
+    labels: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    per_class: int = SAMPLE_PER_CLASS,
+    text_bytes: int = SAMPLE_BYTES,
+) -> Network:
     """Train on a bounded sample of the labelled rows outside the held-out fifth (null labels and null texts are left out).
 
-    The bound is SAMPLE_PER_CLASS rows of each class with the least hash of the
-    id; the classes are weighted back to their counts among all such rows.
+    The bound is ``per_class`` ids of each class, those with the least hash of the
+    id, with one text of at most ``text_bytes`` bytes each, the shortest; the
+    classes are weighted back to their counts among all such ids.  An id with
+    several labels counts as the largest.  Without both classes in the sample the
+    score is a constant.
     """
-    known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
+    known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
+    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y")).where("_id is not null")
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}  # two rows
     picked = None
     for y in (0, 1):
-        some = known.where(F.col("_y") == y).distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_PER_CLASS)
+        some = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
-    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.octet_length("_text") <= SAMPLE_BYTES)
-    rows = texts.join(F.broadcast(picked), "_id").select("_id", "_text", "_y").collect()  # at most 2 * SAMPLE_PER_CLASS ids
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
+    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.octet_length("_text") <= text_bytes)
+    one = texts.join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min(F.struct(F.octet_length("_text").alias("n"), "_text")).alias("_t"))
+    rows = one.select("_id", "_t._text", "_y").collect()  # at most 2 * per_class texts of text_bytes
+    rows.sort(key=lambda r: r["_id"])
     ys = [r["_y"] for r in rows]
     weights = tuple(counts.get(y, 0) / max(1, ys.count(y)) for y in (0, 1))
     mean = sum(weights[y] for y in ys) / max(1, len(ys))
@@ -289,10 +320,9 @@ def score(documents: DataFrame, network: Network, *, text_col: str = "text", sco
 
     A null or empty text is one window without words and scores as the bias
     says; repeated rows repeat; an empty table gives an empty result.
-    ``score_col`` must not be a column of ``documents``.
+    A column of the documents that has the name ``score_col`` already is replaced.
     """
-    if score_col in documents.columns:
-        raise ValueError(f"{score_col} is a column of the documents")
+    documents = documents.drop(score_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
