@@ -156,7 +156,7 @@ def within_radius(index: DataFrame, queries: DataFrame, *, radius: int = 3) -> D
 
 def fingerprint_report(documents: DataFrame, *, radius: int = 3, every: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``edit_report`` with ``n_near``: for ids divisible by ``every``, the rows whose fingerprint lies within ``radius`` bits (itself too); else null."""
-    report = write_table(edit_report(documents, id_col=id_col, text_col=text_col), "op5-report")
+    report = write_table(edit_report(documents, id_col=id_col, text_col=text_col), "op5-report", native=True)
     index = report.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
     asked = (F.col(id_col) % every) == 0
     found = within_radius(index, report.where(asked).select("fp").distinct(), radius=radius)

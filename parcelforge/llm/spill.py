@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import os
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of this machine only where that is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session; where that is unset, a folder of this machine in local mode and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         made = getattr(spark, "_parcelforge_folder", None)
         if made is None:
             made = spark._parcelforge_folder = "file://" + tempfile.mkdtemp(prefix="parcelforge-")
@@ -19,13 +29,51 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back: cuts lineage, survives lost executors."""
+def _mounted(path: str) -> str | None:
+    """The plain path of a folder that is mounted everywhere (scheme ``file``); else null."""
+    found = re.match(r"file:(?://)?(/.*)$", path)
+    return found[1] if found else None
+
+
+def _write_mounted(df: DataFrame, folder: str) -> None:
+    """One file per task, written under a name of its own and moved in place by the driver once its task has succeeded.
+
+    Hadoop's local file system starts a ``chmod`` process for each file and folder that it makes.
+    """
+    os.makedirs(f"{folder}/_parts")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer, name = None, f"part-{uuid.uuid4().hex}.parquet"
+        for batch in batches:
+            if batch.num_rows:
+                writer = writer or pq.ParquetWriter(f"{folder}/_parts/{name}", batch.schema, compression="snappy")
+                writer.write_batch(batch)
+        if writer:
+            writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+    for row in df.mapInArrow(run, "name string").collect():  # one short name a task
+        os.rename(f"{folder}/_parts/{row['name']}", f"{folder}/{row['name']}")
+    shutil.rmtree(f"{folder}/_parts")  # what failed attempts have left
+
+
+def write_table(df: DataFrame, label: str, *, native: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``native`` keeps to Spark's writer on mounted folders too; elsewhere it is used always.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # Shuffle files go once the driver has collected the plans that made them; an early collection bounds the disk in use.
-    spark._jvm.System.gc()
+    mounted = None if native else _mounted(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # the shuffle files of this write go with it
+    try:
+        if mounted:
+            _write_mounted(df, mounted)
+        else:
+            df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._parcelforge_path = path
     return out
