@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the document with the largest id."""
     bounded_batches(spark)
-    gone = exactdup.deduplicate(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_digest")).distinct()
+    gone = exactdup.deduplicate(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_digest"))
     # id and text together: a row that shares its id with a dropped one but not its text stays
     digest = exactdup.digest_of(F.col("text"))
     return docs.join(gone, (digest == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*COLUMNS)
@@ -33,8 +33,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group linked by five-word shingles at similarity 0.8 or more."""
     bounded_batches(spark)
-    gone = neardup.near_duplicates(docs, shingle=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    marked = neardup.near_duplicates(docs.select("doc_id", "text", digest.alias("_digest")), shingle=5, percent=80, carry=["_digest"])
+    gone = marked.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("_carry._digest").alias("_digest"))
+    return docs.join(gone, (digest == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +50,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every byte of every text in a training sequence."""
-    return packing.pack_documents(docs)
+    """Training sequences of byte tokens: their contents, and the documents and places these come from."""
+    return packing.pack_documents(docs).withColumnRenamed("ids", "doc_ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
