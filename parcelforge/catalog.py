@@ -63,9 +63,9 @@ def applicability_chain(spark, sf_dir):
 
 
 @_register("""SELECT n_nationkey, coalesce(t, n_name) AS normalised FROM nation
-  LEFT JOIN (VALUES ('FRANCE', 'FR'), ('GERMANY', 'DE'), ('CANADA', 'CA')) v(s, t) ON n_name = s""")
+  LEFT JOIN (VALUES ('NATION_1', 'N-1'), ('NATION_12', 'N-12'), ('NATION_7', NULL)) v(s, t) ON n_name = s""")
 def crosswalk_normalise(spark, sf_dir):
-    seeds = spark.createDataFrame([("FRANCE", "FR"), ("GERMANY", "DE"), ("CANADA", "CA")], "source_code string, target_code string")
+    seeds = spark.createDataFrame([("NATION_1", "N-1"), ("NATION_12", "N-12"), ("NATION_7", None)], "source_code string, target_code string")
     return rules.crosswalk(_table(spark, sf_dir, "nation"), seeds, "n_name").select("n_nationkey", "normalised")
 
 
@@ -372,7 +372,7 @@ def zone_change(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from parcelforge import catalog_documents, catalog_records, catalog_space  # noqa: F401  they register themselves
+    from parcelforge import catalog_documents, catalog_files, catalog_geometry, catalog_import, catalog_operators, catalog_records, catalog_rules, catalog_space, catalog_text  # noqa: F401  they register themselves
 
     return _queries()
 

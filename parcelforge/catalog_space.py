@@ -83,7 +83,7 @@ def dissolve(spark, sf_dir):
     x, y = F.col("p_partkey") % 40 * 1.0, F.col("p_size") * 1.0
     rows = table(spark, sf_dir, "part").select((F.col("p_size") % 5).alias("zone"), shapes.make_envelope(x, y, x + 1, y + 1).alias("shape"))
     merged = shapes.dissolve(rows, "zone", 10.0)
-    return merged.select("zone", F.round(shapes.shared_area(F.col("shape"), F.col("shape")), 6).alias("area"))
+    return merged.select("zone", F.round(shapes.area(F.col("shape")), 6).alias("area"))
 
 
 @register("""SELECT s_suppkey, 78.0::DOUBLE AS cut, 66.0::DOUBLE AS rest, 4 * 4.0::DOUBLE AS inner_area, 144.0::DOUBLE AS hull_area, true AS valid FROM supplier""")
@@ -91,7 +91,7 @@ def overlay_areas(spark, sf_dir):
     rows = _zones(spark, sf_dir).select(F.col("zone_id").alias("s_suppkey"), "shape")
     corner = F.element_at(F.element_at("shape", 1), 1)
     other = shapes.make_envelope(corner[0] - 1, corner[1] - 1, corner[0] + 6.5, corner[1] + 30)
-    area = lambda s: F.round(shapes.shared_area(s, s), 6)
+    area = lambda s: F.round(shapes.area(s), 6)
     rows = rows.withColumns({"a": shapes.intersection(F.col("shape"), other), "b": shapes.difference(F.col("shape"), other), "c": shapes.buffer(F.col("shape"), -4.0), "d": shapes.hull(F.col("shape"))})
     return rows.select("s_suppkey", area(F.col("a")).alias("cut"), area(F.col("b")).alias("rest"), area(F.col("c")).alias("inner_area"), area(F.col("d")).alias("hull_area"), shapes.is_valid(F.col("shape")).alias("valid"))
 
@@ -102,7 +102,7 @@ def polygonize(spark, sf_dir):
     segments = [(0, 0, 12, 0), (12, 0, 12, 7), (12, 7, 0, 7), (0, 7, 0, 0), (4, -1, 4, 8), (8, -2, 8, 7), (20, 20, 21, 20)]
     parts = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), s, strict=True)]) for s in segments])
     lines = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("sheet")).distinct().select("sheet", F.inline(parts))
-    found = shapes.polygonize(lines, "sheet", 20.0).withColumn("area", shapes.shared_area(F.col("shape"), F.col("shape")))
+    found = shapes.polygonize(lines, "sheet", 20.0).withColumn("area", shapes.area(F.col("shape")))
     return found.groupBy("sheet").agg(F.count(F.lit(1)).alias("faces"), F.round(F.sum("area"), 6).alias("area"))
 
 

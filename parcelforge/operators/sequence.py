@@ -38,18 +38,25 @@ def top_k(rows: DataFrame, part: str, order: list[Column], k: int = 1) -> DataFr
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(part).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(node, component) of small-diameter graphs by smallest neighbour label; columns a and b."""
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """(node, component) by the smallest node reachable; columns a and b.
+
+    Each round takes the least label of the neighbours and then the label's own label, so long chains shorten by more than half a round.  Where
+    the session has a checkpoint folder each round is written there, else kept and the round before released.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
+    labels, held = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), None
+    durable = edges.sparkSession.sparkContext.getCheckpointDir()
     for _ in range(rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("low"))
-        grown = labels.join(near, labels["node"] == near["a"], "left").select(
-            "node", F.least("component", F.coalesce("low", "component")).alias("new"), "component"
-        )
-        grown = grown.checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else grown.persist()
+        low = labels.join(near, labels["node"] == near["a"], "left").select("node", "component", F.least("component", F.coalesce("low", "component")).alias("mid"))
+        jump = low.select(F.col("node").alias("_n"), F.col("mid").alias("_m"))
+        grown = low.join(jump, low["mid"] == jump["_n"], "left").select("node", "component", F.least("mid", F.coalesce("_m", "mid")).alias("new"))
+        grown = grown.checkpoint() if durable else grown.persist()
         done = grown.where("new <> component").isEmpty()
-        labels = grown.select("node", F.col("new").alias("component"))
+        if held is not None and not durable:
+            held.unpersist()
+        held, labels = grown, grown.select("node", F.col("new").alias("component"))
         if done:
             return labels
     raise RuntimeError("components did not settle")

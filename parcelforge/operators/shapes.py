@@ -12,10 +12,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType
 
-from parcelforge.functions import overlay
+from parcelforge.functions import geo, overlay
 from parcelforge.functions.geo import boxes_meet, cells, overlap_area
+from parcelforge.operators.sequence import components
 
 SHAPE = ArrayType(ArrayType(ArrayType(DoubleType())))
 
@@ -30,7 +31,7 @@ def _out(shape: overlay.Shape) -> list:
 
 PLACES = ArrayType(ArrayType(DoubleType()))
 _PAIRS = pa.list_(pa.list_(pa.float64()))
-_ARROW = {DoubleType(): pa.float64(), BooleanType(): pa.bool_(), SHAPE: pa.list_(_PAIRS), PLACES: _PAIRS}
+_ARROW = {StringType(): pa.string(), DoubleType(): pa.float64(), BooleanType(): pa.bool_(), SHAPE: pa.list_(_PAIRS), PLACES: _PAIRS}
 
 
 def _kernel(kernel: Callable, kind, *shapes: Column) -> Column:
@@ -97,6 +98,34 @@ def is_valid(shape: Column) -> Column:
     return _kernel(lambda x: all(overlay.is_valid(r) for r in x), BooleanType(), shape)
 
 
+def validity_reason(shape: Column) -> Column:
+    """``Valid Geometry`` or what is wrong; null for null."""
+    return _kernel(overlay.validity_reason, StringType(), shape)
+
+
+def is_empty(shape: Column) -> Column:
+    """No ring has a point.  A shape of no area, as where two others touch, is not empty."""
+    return F.size(F.flatten(shape)) == 0
+
+
+def area(shape: Column) -> Column:
+    """Enclosed area of rings that do not cross: each counts for or against by how many others hold a place on its first edge.
+
+    Rings of one shape may touch in points; the place lies off the edge's ends and middle, where they would.
+    """
+    def ring(r: Column) -> Column:
+        return F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+
+    def signed(r: Column, i: Column) -> Column:
+        p, q = F.get(r, F.lit(0)), F.get(r, F.lit(1))
+        x, y = p[0] + (q[0] - p[0]) * 0.381966, p[1] + (q[1] - p[1]) * 0.381966
+        within = F.size(F.filter(shape, lambda o, j: (i != j) & geo.covers(ring(o), x, y)))
+        return geo.area(ring(r)) * F.when(within % 2 == 0, 1.0).otherwise(-1.0)
+
+    several = F.aggregate(F.transform(F.filter(shape, lambda r: F.size(r) > 1), signed), F.lit(0.0), lambda s, v: s + v)
+    return F.when(F.size(shape) == 1, geo.area(ring(F.get(shape, F.lit(0))))).otherwise(several)
+
+
 def envelope(shape: Column) -> Column:
     """struct(x0, y0, x1, y1); nulls for an empty shape."""
     points = F.flatten(shape)
@@ -146,6 +175,98 @@ def transform(shape: Column, a: float, b: float, c: float, d: float, e: float, f
     return F.transform(shape, lambda r: F.transform(r, lambda p: F.array(a * p[0] + b * p[1] + c, d * p[0] + e * p[1] + f)))
 
 
+def fit(source: tuple[float, float, float, float], target: tuple[float, float, float, float]) -> tuple[float, ...]:
+    """Coefficients (a, b, c, d, e, f) for ``transform`` that lay a drawing's box (x0, y0 at the top, x1, y1) on a map's box (x0, y0, x1, y1 at the top): y turns over."""
+    sx, sy = (target[2] - target[0]) / (source[2] - source[0]), (target[3] - target[1]) / (source[3] - source[1])
+    return sx, 0.0, target[0] - source[0] * sx, 0.0, -sy, target[3] + source[1] * sy
+
+
+def compose(first: tuple[float, ...], second: tuple[float, ...]) -> tuple[float, ...]:
+    """The affine map that applies ``first``, then ``second``."""
+    a, b, c, d, e, f = first
+    p, q, r, s, t, u = second
+    return p * a + q * d, p * b + q * e, p * c + q * f + r, s * a + t * d, s * b + t * e, s * c + t * f + u
+
+
+def bounds(rows: DataFrame, shape: str) -> DataFrame:
+    """(x0, y0, x1, y1): the box of all shapes."""
+    box = envelope(F.col(shape))
+    return rows.agg(F.min(box["x0"]).alias("x0"), F.min(box["y0"]).alias("y0"), F.max(box["x1"]).alias("x1"), F.max(box["y1"]).alias("y1"))
+
+
+def filled_layer(drawings: DataFrame, keys: list[str], colours: dict[str, str], boundary: list, placed: tuple[float, ...], least: float) -> DataFrame:
+    """(keys, code, shape, area): closed paths filled in a legend colour, placed on the map and clipped to the boundary, of ``least`` area or more.
+
+    ``drawings`` (keys, fill, shape); ``colours`` gives the code of a fill; the boundary is one shape of a municipality and stands in the expression.
+    """
+    codes = F.create_map(*[F.lit(x) for pair in colours.items() for x in pair])
+    rows = drawings.withColumn("code", F.element_at(codes, F.col("fill"))).where("code is not null")
+    rim = F.lit(boundary).cast(SHAPE)
+    rows = rows.withColumn("shape", intersection(transform(F.col("shape"), *placed), rim))
+    rows = rows.withColumn("area", area(F.col("shape")))
+    return rows.where(~is_empty(F.col("shape")) & (F.col("area") >= least)).select(*keys, "code", "shape", "area")
+
+
+def line_layer(drawings: DataFrame, keys: list[str], widths: tuple[float, ...], boundary: list, placed: tuple[float, ...], least: float = 12.0, reach: float = 0.25) -> DataFrame:
+    """(keys, part, line, length): black strokes of the given widths, placed on the map, clipped to the boundary, simplified by ``reach``, in parts of ``least`` length or more."""
+    rim = [np.array(r, dtype=float) for r in boundary]
+    a, b, c, d, e, f = placed
+    kind = ArrayType(ArrayType(ArrayType(DoubleType())))
+
+    def cut(lines: pa.Array) -> pa.Array:
+        out = []
+        for line in lines.to_pylist():
+            if line is None or len(line) < 2:
+                out.append([])
+                continue
+            p = np.array(line, dtype=float)
+            p = np.stack([a * p[:, 0] + b * p[:, 1] + c, d * p[:, 0] + e * p[:, 1] + f], axis=1)
+            parts = [overlay.simplify(x, reach) for x in overlay.clip_line(p, rim)]
+            out.append([x.tolist() for x in parts])
+        return pa.array(out, _ARROW[SHAPE])
+
+    def kept(lines: pa.Array) -> pa.Array:
+        return cut(lines)
+
+    rows = drawings.where((F.col("colour") == "#000000") & F.round("width", 3).isin(*widths))
+    rows = rows.select(*keys, F.posexplode(F.arrow_udf(kept, kind)(F.col("line"))).alias("part", "line"))
+    steps = F.transform(F.sequence(F.lit(1), F.size("line") - 1), lambda i: F.hypot(F.get("line", i)[0] - F.get("line", i - 1)[0], F.get("line", i)[1] - F.get("line", i - 1)[1]))
+    rows = rows.where(F.size("line") >= 2).withColumn("length", F.aggregate(steps, F.lit(0.0), lambda s, v: s + v))
+    return rows.where(F.col("length") >= least)
+
+
+def diagonal_pairs(parcels: DataFrame, size: float, group: str | None = None) -> DataFrame:
+    """(a, b) of triangles (parcel_id, shape) that a diagonal has split: each pair met once, in the cell of the shared box's lower-left corner; ``group`` names a column that must agree."""
+    three = parcels.where((F.size("shape") == 1) & (F.size(F.get("shape", F.lit(0))) == 3))
+    boxed = three.select("parcel_id", *[group] * bool(group), "shape", envelope(F.col("shape")).alias("box"))
+    side = lambda p: boxed.select(F.col("parcel_id").alias(p), *([group] if group else []), F.col("shape").alias(f"{p}_shape"), F.col("box").alias(f"{p}_box"), F.explode(cells(F.col("box"), size)).alias("cell"))
+    first = [F.floor(F.greatest(F.col(f"a_box.{c}"), F.col(f"b_box.{c}")) / size) for c in ("x0", "y0")]
+    met = side("a").join(side("b"), ["cell", *([group] if group else [])])
+    met = met.where((F.col("a") < F.col("b")) & boxes_meet(F.col("a_box"), F.col("b_box")) & (first[0] == F.col("cell.i")) & (first[1] == F.col("cell.j")))
+    split = _kernel(lambda x, y: overlay.split_by_diagonal(x[0], y[0]), BooleanType(), F.col("a_shape"), F.col("b_shape"))
+    return met.withColumn("_split", split).where("_split").select("a", "b")
+
+
+def merge_diagonals(parcels: DataFrame, size: float, most_parts: int = 4, most: float = 1.10) -> DataFrame:
+    """(parcel_id, source_ids, shape): parcels after split triangles are joined, where 2 to ``most_parts`` of them make one nearly convex outline; others stay as they are."""
+    pairs = diagonal_pairs(parcels, size)
+    groups = components(pairs)
+    sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(f"n <= {most_parts}").select("component")
+    members = groups.join(sized, "component").withColumnRenamed("node", "parcel_id").join(parcels.select("parcel_id", "shape"), "parcel_id")
+    kind = parcels.schema["parcel_id"].dataType.simpleString()
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        whole = overlay.union([_in(s) for s in group["shape"]])
+        ok = len(whole) == 1 and overlay.hull_ratio(whole) <= most
+        ids = sorted(group["parcel_id"])
+        return pd.DataFrame({"parcel_id": [ids[0]], "source_ids": [ids], "shape": [_out(whole)]} if ok else {"parcel_id": [], "source_ids": [], "shape": []})
+
+    merged = members.select("component", "parcel_id", "shape").groupBy("component").applyInPandas(join, f"parcel_id {kind}, source_ids array<{kind}>, shape array<array<array<double>>>")
+    used = merged.select(F.explode("source_ids").alias("parcel_id"))
+    rest = parcels.join(used, "parcel_id", "left_anti").select("parcel_id", F.array("parcel_id").alias("source_ids"), "shape")
+    return merged.unionByName(rest)
+
+
 def geojson(shape: Column, digits: int = 9) -> Column:
     """Polygon geometry as JSON text, rings closed; null for null."""
     closed = F.transform(shape, lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.transform(p, lambda v: F.round(v, digits))))

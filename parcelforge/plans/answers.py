@@ -67,8 +67,7 @@ def parcel_at(parcels: DataFrame, addresses: DataFrame, x: float, y: float) -> D
     """The smallest parcel that covers a place (ties by id) with the nearest address in it; outside all: no row."""
     box, at = shapes.envelope(F.col("shape")), (F.lit(float(x)), F.lit(float(y)))
     near = parcels.where(boxes_meet(box, _box(x, y, x, y)) & held(F.col("shape"), *at))
-    size = (box["x1"] - box["x0"]) * (box["y1"] - box["y0"])
-    one = near.withColumn("area", F.coalesce(shapes.shared_area(F.col("shape"), F.col("shape")), size)).orderBy("area", "parcel_id").limit(1)
+    one = near.withColumn("area", shapes.area(F.col("shape"))).orderBy("area", "parcel_id").limit(1)
     inside = addresses.join(F.broadcast(one.select("parcel_id", "shape")), held(F.col("shape"), F.col("x"), F.col("y")))
     nearest = inside.groupBy("parcel_id").agg(F.min(F.struct(shapes.distance(F.col("x"), F.col("y"), *at).alias("distance"), "address_id", "label")).alias("address"))
     return one.join(nearest, "parcel_id", "left")

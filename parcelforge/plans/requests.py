@@ -26,6 +26,14 @@ def bbox_of(value: str) -> tuple[float, float, float, float]:
     return west, south, east, north
 
 
+def point_of(lon: object, lat: object) -> tuple[float, float]:
+    """Degrees of a place; ValueError when they are no numbers or out of range."""
+    x, y = float(str(lon)), float(str(lat))
+    if not (-180 <= x <= 180 and -90 <= y <= 90):
+        raise ValueError("out of range")
+    return x, y
+
+
 def search(rows: DataFrame, query: str, label: str, key: str, limit: int = 10) -> DataFrame:
     """Rows whose label starts with or contains the query, exact first; fewer than two characters find none."""
     q = query.strip().lower()
