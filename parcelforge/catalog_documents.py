@@ -215,12 +215,12 @@ def live_refs(spark, sf_dir):
     return records.with_live_refs(rows, "o_orderkey", "refs", live, "id").select("o_orderkey")
 
 
-@register("""WITH RECURSIVE e AS (SELECT DISTINCT c_custkey % 40 AS a, c_custkey % 40 // 2 + 3 AS b FROM customer WHERE c_custkey % 40 > 4),
+@register("""WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey // 2 + 3 AS b FROM customer WHERE c_custkey > 4),
   r(root, member, depth, path) AS (SELECT a, b, 1, [a, b] FROM e UNION ALL SELECT r.root, e.b, r.depth + 1, list_append(r.path, e.b) FROM r JOIN e ON r.member = e.a
     WHERE NOT list_contains(r.path[:-2], r.member))
   SELECT root, member, min(depth) AS depth, root = member AS cyclic FROM r GROUP BY root, member""")
 def inclusion(spark, sf_dir):
-    a = F.col("c_custkey") % 40
+    a = F.col("c_custkey")
     edges = table(spark, sf_dir, "customer").where(a > 4).select(a.alias("a"), (F.floor(a / 2) + 3).alias("b"))
     return records.inclusion(edges)
 

@@ -96,18 +96,21 @@ def overlay_areas(spark, sf_dir):
     return rows.select("s_suppkey", area(F.col("a")).alias("cut"), area(F.col("b")).alias("rest"), area(F.col("c")).alias("inner_area"), area(F.col("d")).alias("hull_area"), shapes.is_valid(F.col("shape")).alias("valid"))
 
 
-@register("""SELECT s_nationkey AS sheet, 3 AS faces, 84.0::DOUBLE AS area FROM supplier GROUP BY s_nationkey""")
+@register("""SELECT s_suppkey AS sheet, 3 AS faces, ((12 + s_suppkey % 5) * 7.0)::DOUBLE AS area FROM supplier""")
 def polygonize(spark, sf_dir):
-    # a 12 x 7 box with two cuts through it: three faces over the least area
-    segments = [(0, 0, 12, 0), (12, 0, 12, 7), (12, 7, 0, 7), (0, 7, 0, 0), (4, -1, 4, 8), (8, -2, 8, 7), (20, 20, 21, 20)]
-    parts = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), s, strict=True)]) for s in segments])
-    lines = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("sheet")).distinct().select("sheet", F.inline(parts))
+    # a box 7 high, 12 to 16 wide, with two cuts through it and a line apart: three faces over the least area
+    k = F.col("s_suppkey")
+    w, x, y = 12.0 + k % 5, k % 100 * 30.0, F.floor(k / 100) * 30.0
+    zero, high = F.lit(0.0), F.lit(7.0)
+    segments = [(zero, zero, w, zero), (w, zero, w, high), (w, high, zero, high), (zero, high, zero, zero), (F.lit(4.0), F.lit(-1.0), F.lit(4.0), F.lit(8.0)), (F.lit(8.0), F.lit(-2.0), F.lit(8.0), high), (F.lit(20.0), F.lit(20.0), F.lit(21.0), F.lit(20.0))]
+    parts = F.array(*[F.struct(*[(v + (x if n[0] == "x" else y)).alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), s, strict=True)]) for s in segments])
+    lines = table(spark, sf_dir, "supplier").select(k.alias("sheet"), F.inline(parts))
     found = shapes.polygonize(lines, "sheet", 20.0).withColumn("area", shapes.area(F.col("shape")))
     return found.groupBy("sheet").agg(F.count(F.lit(1)).alias("faces"), F.round(F.sum("area"), 6).alias("area"))
 
 
 _CLASSES = [("red", 200, 40, 40, 90.0), ("green", 40, 200, 40, 90.0), ("blue", 40, 40, 200, 90.0)]
-_PIXELS = """x AS (SELECT DISTINCT event_id % 60 AS "row", event_id * 7 % 90 AS col FROM events), c AS (SELECT *, "row" * 4 AS r, col * 2 AS g, ("row" * 3 + col) % 256 AS b FROM x),
+_PIXELS = """x AS (SELECT event_id // 90 AS "row", event_id % 90 AS col FROM events), c AS (SELECT *, "row" * 4 % 256 AS r, col * 2 AS g, ("row" * 3 + col) % 256 AS b FROM x),
   k(i, code, kr, kg, kb) AS (VALUES (0, 'red', 200, 40, 40), (1, 'green', 40, 200, 40), (2, 'blue', 40, 40, 200)),
   d AS (SELECT "row", col, i, code, sqrt((r - kr) ** 2 + (g - kg) ** 2 + (b - kb) ** 2) AS d FROM c, k WHERE NOT least(r, g, b) >= 242 AND NOT greatest(r, g, b) <= 28),
   n AS (SELECT "row", col, CASE WHEN min(d) <= 90 THEN arg_min(code, (d, i)) END AS code, min(d) AS distance FROM d GROUP BY "row", col)"""
@@ -115,8 +118,8 @@ _PIXELS = """x AS (SELECT DISTINCT event_id % 60 AS "row", event_id * 7 % 90 AS
 
 def _pixels(spark, sf_dir):
     e = F.col("event_id")
-    rows = table(spark, sf_dir, "events").select((e % 60).alias("row"), (e * 7 % 90).alias("col")).distinct()
-    rows = rows.withColumns({"r": F.col("row") * 4, "g": F.col("col") * 2, "b": (F.col("row") * 3 + F.col("col")) % 256})
+    rows = table(spark, sf_dir, "events").select(F.floor(e / 90).alias("row"), (e % 90).alias("col"))
+    rows = rows.withColumns({"r": F.col("row") * 4 % 256, "g": F.col("col") * 2, "b": (F.col("row") * 3 + F.col("col")) % 256})
     near = raster.nearest_class(F.col("r"), F.col("g"), F.col("b"), _CLASSES)
     return rows.where(raster.usable(F.col("r"), F.col("g"), F.col("b"))).withColumn("_n", near).select("row", "col", "r", "g", "b", F.col("_n.code").alias("code"), F.col("_n.distance").alias("distance"))
 

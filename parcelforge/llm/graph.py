@@ -8,24 +8,29 @@ from pyspark.sql import functions as F
 from parcelforge.llm.spill import drop_table, write_table
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Edges that one file holds; few edges need few tasks, however many partitions the session's shuffles have.
+EDGES_A_FILE = 500_000
+
+
+def _star(edges: DataFrame, large: bool, files: int) -> DataFrame:
     """One star step, written.  The least neighbours are written first: a plain join of two tables may split a hub's rows over tasks."""
     if large:  # each node sends its larger neighbours to the least of its neighbourhood
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = write_table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components")
+        least = write_table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(files), "components")
         moved = edges.join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b")  # edges are a < b
     else:  # each node hangs itself and its smaller neighbours under the least of them
-        least = write_table(edges.groupBy("b").agg(F.min("a").alias("m")), "components")
+        least = write_table(edges.groupBy("b").agg(F.min("a").alias("m")).coalesce(files), "components")
         ends = F.explode(F.array_distinct(F.array(F.col("a"), F.col("b"))))
         moved = edges.join(least, "b").select("m", ends.alias("y")).where("m <> y").select(F.least("m", "y").alias("a"), F.greatest("m", "y").alias("b"))
-    out = write_table(moved.distinct(), "components")
+    out = write_table(moved.distinct().coalesce(files), "components")
     drop_table(least)
     return out
 
 
-def _sign(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _is_stars(edges: DataFrame) -> tuple[int, bool]:
+    """(edges, are they stars around the least node of each component): no node is the larger end twice, and no smaller end is a larger one."""
+    row = edges.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("b").alias("d")).first()
+    return row["n"], row["n"] == row["d"] and edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
 
 
 def components(links: DataFrame, *, max_rounds: int = 60) -> DataFrame:
@@ -37,18 +42,16 @@ def components(links: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = write_table(edges, "components")
-    sign = _sign(edges)
+    n, done = _is_stars(edges)
     for _ in range(max_rounds):
-        large = _star(edges, True)
-        small = _star(large, False)
-        now = _sign(small)
+        if done:
+            break
+        large = _star(edges, True, n // EDGES_A_FILE + 1)
         drop_table(edges)
+        edges = _star(large, False, n // EDGES_A_FILE + 1)
         drop_table(large)
-        edges = small
-        if now == sign:
-            break
-        sign = now
-    else:
+        n, done = _is_stars(edges)
+    if not done:
         raise RuntimeError("connected components did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()

@@ -382,12 +382,22 @@ def near_duplicates(
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     mixed = write_table(mixed, "op2-mixed")
     unsure = write_table(marked.join(mixed, "key").select("id", "n", "label").distinct(), "op2-open")
-    for table in (met, marked, mixed, labels):
+    for table in (met, marked, mixed):
         drop_table(table)
     pairs = _rare_partners(sets.join(unsure, "id"), percent)
     fresh = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "op2-fresh")
     more = verified(fresh)
-    labels = write_table(components(links.unionByName(more)), "op2-labels")
+    if not more.isEmpty():  # the later links join whole components
+        of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+        between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        tops = write_table(components(between), "op2-tops")
+        top = tops.select(F.col("node").alias("component"), F.col("component").alias("_top"))
+        alone = tops.withColumnRenamed("component", "_top").join(labels.select("node"), "node", "left_anti")
+        joined = labels.join(top, "component", "left").select("node", F.coalesce("_top", "component").alias("component"))
+        grown = write_table(joined.unionByName(alone.select("node", F.col("_top").alias("component"))), "op2-labels")
+        drop_table(labels)
+        drop_table(tops)
+        labels = grown
     for table in (heads, sets, links, more, tried, pairs, fresh, unsure):
         drop_table(table)
     whole = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
