@@ -18,9 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Encoded pre-tokens kept for reuse (in each of two generations), and the longest pre-token kept (bounds the cache's memory).
-CACHE_ENTRIES = 400_000
-CACHE_PIECE = 64
+#: Encoded pre-tokens kept for reuse (in each of two generations), the longest pre-token kept, and the pairs of tokens whose compatibility is kept: these bound a worker's memory.
+CACHE_ENTRIES, CACHE_PIECE, CACHE_PAIRS = 150_000, 48, 500_000
 
 
 class ByteBpe:
@@ -77,7 +76,7 @@ class ByteBpe:
         key = (left, right)
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > CACHE_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self._compatible(left, right)
         return known
@@ -185,7 +184,11 @@ def tool(path: str, pattern: str) -> ByteBpe:
 
 
 def encode(documents: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) for every row; a null text gives an empty array, repeated rows repeat, extra columns are not read."""
+    """(id, ids array<int>) for every row.
+
+    A null text gives an empty array, repeated rows and ids repeat, ties do not arise (merges are ordered by rank), an empty table gives an empty
+    result, extra columns are not read.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tool(path, pattern)
@@ -200,7 +203,7 @@ def encode(documents: DataFrame, path: str, pattern: str, *, id_col: str = "doc_
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id") -> DataFrame:
-    """(id, decoded binary) from ``encode``'s rows; a null array decodes to no bytes."""
+    """(id, decoded binary) from ``encode``'s rows; a null array decodes to no bytes, repeated rows repeat, an empty table gives an empty result."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tool(path, pattern)

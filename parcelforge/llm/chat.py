@@ -90,7 +90,10 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
 def render(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv, turn, segment, loss_start, loss_end): one segment per row; the span is the assistant's content, else null.
 
-    Null text and null role count as empty; no shuffle is needed, since segments are self-delimiting.
+    Null text and null role count as empty, texts of any length are one segment;
+    repeated rows and equal turns repeat their segments, null ids are rendered as
+    others, extra columns are not read, an empty table gives an empty result.  No
+    shuffle is needed, since segments are self-delimiting.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +118,10 @@ def read_back(rendered: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), all read from the rendered text.
 
     Rows of a conversation are taken by ascending turn (null first), ties by
-    segment.  Sorted rows stream through running digests, so that a conversation
-    of any length needs the memory of one batch.  No rows give no result.
+    segment, repeated rows as often as they come; rows with a null id are one
+    conversation.  Sorted rows stream through running digests, so that a
+    conversation of any length needs the memory of one batch.  No rows give no
+    result; extra columns are not read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

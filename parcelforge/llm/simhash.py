@@ -97,7 +97,7 @@ def edit_report(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     The edited text has its last floor(n_chars/2) code points replaced by the
     first as many (or all) of the next document by ascending id; after the last
-    comes the first.  A null text counts as empty, texts without words have
+    comes the first; ids are whole numbers.  A null text counts as empty, texts without words have
     fingerprint 0; rows that repeat an id follow each other in the order of a hash
     of their text; a null id comes first; one row is its own next; an empty table
     gives an empty result; other columns are not read.

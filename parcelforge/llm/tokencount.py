@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 
 from parcelforge.llm.arrowtext import buffers
 
-#: Pre-token counts kept for reuse; beyond it the older half goes (recomputed when met again).
-CACHE_ENTRIES = 400_000
+#: Pre-token counts kept for reuse in each of two generations (the older one goes and is recomputed when met again), and the longest pre-token kept.
+CACHE_ENTRIES, CACHE_PIECE = 200_000, 64
 _NONE = np.int64(1) << 40
 
 
@@ -140,12 +140,14 @@ class TokenCounter:
             self._learn(list(set().union(*pieces)))
         else:
             self._learn(list(fresh))
-        known = self.known
         try:
-            return [sum(map(known.__getitem__, p)) + e for p, e in zip(pieces, extra, strict=True)]
+            out = [sum(map(self.known.__getitem__, p)) + e for p, e in zip(pieces, extra, strict=True)]
         except KeyError:  # the cache turned over between: learn all of this batch anew
             self._learn(list(set().union(*pieces)))
-            return [sum(map(self.known.__getitem__, p)) + e for p, e in zip(pieces, extra, strict=True)]
+            out = [sum(map(self.known.__getitem__, p)) + e for p, e in zip(pieces, extra, strict=True)]
+        for piece in [p for p in fresh if len(p) > CACHE_PIECE]:  # long ones seldom come again and would fill the memory
+            self.known.pop(piece, None)
+        return out
 
 
 _COUNTERS: dict[tuple[str, str], TokenCounter] = {}

@@ -225,11 +225,11 @@ def train(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
 
     One half of the sample sets the first embedding dimension (its log odds), the
     other half trains all parameters on the highest window of each document.
-    Without both classes the network is the constant rate of ones.
+    Without both classes the network is the constant rate of ones, without any text 0.
     """
     net, y = Network(seed), np.array(labels, dtype=np.int64)
     if not len(y) or y.min() == y.max():
-        net.constant = (int(y.sum()) + 1) / (len(y) + 2)
+        net.constant = (int(y.sum()) + 1) / (len(y) + 2) if len(y) else 0.0
         return net
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
@@ -296,7 +296,7 @@ def fit(
     id, with one text of at most ``text_bytes`` bytes each, the shortest; the
     classes are weighted back to their counts among all such ids.  An id with
     several labels counts as the largest.  Without both classes in the sample the
-    score is a constant.
+    score is a constant, 0 without any labelled text.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y")).where("_id is not null")

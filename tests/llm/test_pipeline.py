@@ -105,3 +105,29 @@ def test_null_and_repeated_ids(spark, folder):
     near = [(r["doc_id"], r["component_id"], r["kept"]) for r in corpus_pipeline.neardup.near_duplicates(docs).collect() if r["doc_id"] in (None, 7)]
     assert sorted(near, key=str) == [(7, 7, True), (None, 7, False)]
     assert sum(r["n_words"] for r in corpus_pipeline.repeats.deduplicate(docs).collect()) == 13
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def test_near_copies_by_id_and_text(spark, folder):
+    near = " ".join(f"n{i}" for i in range(80))
+    rows = [(None, near, "en", "s", 1), (7, near + " tail", None, None, None), (7, "quite another text that shares the id", "en", "s", 1), (9, near + " tail", "en", "t", 1), (None, "alone with no id", "en", "s", 1), (12, None, "en", "s", 0), (13, "", "en", "s", 0)]
+    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in corpus_pipeline.drop_near_copies(spark, table(spark, rows), folder).collect())
+    assert kept == [("12", ""), ("13", ""), ("7", near + " tail"), ("7", "quite another text that shares the id"), ("None", "alone with no id")]
+
+
+def test_every_stage_takes_an_empty_table(spark, folder):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, table(spark, []), folder).collect() == [], name
+
+
+def test_clashing_columns_and_null_labels(spark, folder, tmp_path):
+    rows = [(i, f"calm text number {i} " + " ".join(f"w{i}x{j}" for j in range(9)), "en", "s", 1, "x", 2, "y") for i in range(12)]
+    docs = spark.createDataFrame(rows, COLUMNS + ", _digest string, kept int, _toxicity string")
+    spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in out.collect()} == set(range(12))
+    assert {i for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect() for i in r["doc_ids"]} == set(range(12))
