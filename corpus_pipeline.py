@@ -24,6 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the document with the largest id."""
     bounded_batches(spark)
+    docs = docs.select(*COLUMNS)
     gone = exactdup.deduplicate(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_digest"))
     # id and text together: a row that shares its id with a dropped one but not its text stays
     digest = exactdup.digest_of(F.col("text"))
@@ -33,6 +34,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group linked by five-word shingles at similarity 0.8 or more."""
     bounded_batches(spark)
+    docs = docs.select(*COLUMNS)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     marked = neardup.near_duplicates(docs.select("doc_id", "text", digest.alias("_digest")), shingle=5, percent=80, carry=["_digest"])
     gone = marked.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("_carry._digest").alias("_digest"))
