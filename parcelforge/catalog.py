@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parcelforge.functions import geo, measure, text
-from parcelforge.operators import rules, sequence, similarity, spatial, versioning
+from parcelforge.operators import references, rules, sequence, similarity, spatial, versioning
 from parcelforge.plans import requests
 from parcelforge.registry import Query, sql_of
 from parcelforge.registry import queries as _queries
@@ -98,14 +98,17 @@ def or_filter(spark, sf_dir):
     return _table(spark, sf_dir, "part").where((F.col("p_size") == 15) | F.startswith("p_name", F.lit("b"))).select("p_partkey", "p_name")
 
 
-@_register("""SELECT DISTINCT a.p_partkey AS part_a, b.p_partkey AS part_b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey
-  WHERE contains(lower(a.p_type), lower(b.p_type)) OR contains(lower(b.p_type), lower(a.p_type))""")
+@_register("""WITH r AS (SELECT o_custkey % 200 AS scope, o_orderkey AS rule, ['main_street', 'downtown', 'zone_' || o_orderkey % 30][o_orderkey % 3 + 1] AS t FROM orders),
+  p AS (SELECT c_custkey % 200 AS scope, c_custkey AS place, ['main_street_east', 'downtown', 'map_zone_' || c_nationkey][c_custkey % 3 + 1] AS k FROM customer)
+  SELECT DISTINCT scope, rule, place FROM r JOIN p USING (scope) WHERE contains(t, k) OR contains(k, t)""")
 def token_theta(spark, sf_dir):
-    part = _table(spark, sf_dir, "part")
-    a = part.select("p_brand", F.col("p_partkey").alias("part_a"), F.lower("p_type").alias("ta"))
-    b = part.select("p_brand", F.col("p_partkey").alias("part_b"), F.lower("p_type").alias("tb"))
-    met = a.join(b, "p_brand").where("part_a < part_b AND (contains(ta, tb) OR contains(tb, ta))")
-    return met.select("part_a", "part_b").distinct()
+    pick = lambda values, at: F.element_at(F.array(*values), (at % 3 + 1).cast("int"))
+    order, cust = F.col("o_orderkey"), F.col("c_custkey")
+    said = pick([F.lit("Main-Street"), F.lit("Downtown"), F.concat(F.lit("zone "), order % 30)], order)
+    keys = pick([F.lit("main_street_east"), F.lit("downtown"), F.concat(F.lit("map_zone_"), F.col("c_nationkey"))], cust)
+    rows = _table(spark, sf_dir, "orders").select((F.col("o_custkey") % 200).alias("scope"), order.alias("rule"), references.area_tokens([], [said]).alias("tokens"))
+    places = _table(spark, sf_dir, "customer").select((cust % 200).alias("scope"), cust.alias("place"), F.array(keys).alias("keys"))
+    return references.area_links(rows, places, "scope")
 
 
 @_register("""SELECT conv_id, string_agg(text, ' ' ORDER BY turn, role, text) AS body, count(*) AS turns FROM conversations GROUP BY conv_id""")

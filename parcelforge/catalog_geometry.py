@@ -17,7 +17,7 @@ def _ring(x, y, *corners: tuple[float, float]):
 def _zones(spark, sf_dir):
     """L-shaped zones, and square ones with a square hole."""
     k = F.col("s_suppkey")
-    x, y = k % 10 * 14.0, F.floor(k / 10) % 10 * 14.0
+    x, y = k % 10 * 14.0, F.floor(k / 10) * 14.0
     bent = F.array(_ring(x, y, (0, 0), (12, 0), (12, 4), (5, 4), (5, 12), (0, 12)))
     hollow = F.array(_ring(x, y, (0, 0), (12, 0), (12, 12), (0, 12)), _ring(x, y, (2, 2), (2, 10), (10, 10), (10, 2)))
     return table(spark, sf_dir, "supplier").select(k.alias("zone_id"), F.concat(F.lit("Z"), k % 3).alias("code"), F.col("s_name").alias("name"), F.when(k % 2 == 0, bent).otherwise(hollow).alias("shape"))
@@ -29,7 +29,7 @@ def _parcels(spark, sf_dir):
     return table(spark, sf_dir, "part").select(k.alias("parcel_id"), shapes.make_envelope(x, y, x + 3, y + 3).alias("shape"))
 
 
-_MET = """z AS (SELECT s_suppkey AS zone_id, s_suppkey % 2 = 0 AS bent, s_suppkey % 10 * 14.0::DOUBLE AS x, s_suppkey // 10 % 10 * 14.0::DOUBLE AS y FROM supplier),
+_MET = """z AS (SELECT s_suppkey AS zone_id, s_suppkey % 2 = 0 AS bent, s_suppkey % 10 * 14.0::DOUBLE AS x, s_suppkey // 10 * 14.0::DOUBLE AS y FROM supplier),
   p AS (SELECT p_partkey AS parcel_id, p_partkey % 70 * 2.0::DOUBLE AS a, p_partkey // 70 * 2.0::DOUBLE AS b FROM part),
   n AS (SELECT parcel_id, zone_id, bent, a, b, x, y, greatest(0, least(a + 3, x + 12) - greatest(a, x)) AS w, greatest(0, least(b + 3, y + 12) - greatest(b, y)) AS h FROM p JOIN z ON a <= x + 12 AND x <= a + 3 AND b <= y + 12 AND y <= b + 3),
   m AS (SELECT parcel_id, zone_id, CASE WHEN bent THEN w * greatest(0, least(b + 3, y + 4) - greatest(b, y)) + greatest(0, least(a + 3, x + 5) - greatest(a, x)) * greatest(0, least(b + 3, y + 12) - greatest(b, y + 4))
@@ -71,13 +71,13 @@ def bent_shapes(spark, sf_dir):
         shapes.validity_reason(F.col("shape")).alias("reason"), shapes.is_empty(F.col("a")).alias("empty"))
 
 
-@register("""SELECT p_size % 4 AS zone, (count(DISTINCT p_partkey) * 12.5)::DOUBLE AS area FROM part GROUP BY 1""")
+@register("""SELECT p_partkey // 60 % 4 AS zone, (count(*) * 25.0)::DOUBLE AS area FROM part GROUP BY 1""")
 def dissolve_triangles(spark, sf_dir):
-    """Each parcel is half a square, cut along the diagonal; the halves of one square belong to one zone and are given twice over."""
+    """Squares cut along the diagonal, both halves of each, in strips that belong to one zone."""
     k = F.col("p_partkey")
     x, y = k % 60 * 5.0, F.floor(k / 60) * 5.0
-    lower, upper = F.array(_ring(x, y, (0, 0), (5, 0), (0, 5))), F.array(_ring(x + 0.0, y + 0.0, (0, 0), (5, 0), (0, 5)))
-    rows = table(spark, sf_dir, "part").select((F.col("p_size") % 4).alias("zone"), F.explode(F.array(lower, upper)).alias("shape"))
+    halves = F.array(F.array(_ring(x, y, (0, 0), (5, 0), (0, 5))), F.array(_ring(x, y, (5, 0), (5, 5), (0, 5))))
+    rows = table(spark, sf_dir, "part").select((F.floor(k / 60) % 4).alias("zone"), F.explode(halves).alias("shape"))
     merged = shapes.dissolve(rows, "zone", 20.0)
     return merged.select("zone", F.round(shapes.area(F.col("shape")), 6).alias("area"))
 

@@ -245,3 +245,21 @@ def reference_targets(references: DataFrame, target: list[str], path: str, page:
     title = F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in target])
     rows = references.select(F.concat_ws(":", F.lit("requirement-reference"), slugify(title)).alias("target_id"), title.alias("_t"), path, page)
     return rows.groupBy("target_id").agg(F.min(F.struct(path, page, F.col("_t").alias("t")))["t"].alias("source_text"), F.array_sort(F.collect_set(path)).alias("paths"), F.count(F.lit(1)).alias("n"))
+
+
+def area_tokens(labels: list[Column], plain: list[Column]) -> Column:
+    """Keys of what a rule says of its area: each label's normal form, and the ``plain`` ones also with dashes and blanks as underscores; empty ones are left out."""
+    forms = [norm_key(c) for c in [*labels, *plain]] + [F.translate(F.lower(c), "- ", "__") for c in plain]
+    return F.filter(F.array_distinct(F.array_compact(F.array(*forms))), lambda t: t != "")
+
+
+def area_links(rules: DataFrame, places: DataFrame, scope: str) -> DataFrame:
+    """Distinct (scope, rule, place) where a token of the rule holds a key of the place or the other way round, within one bylaw.
+
+    ``rules`` (scope, rule, tokens array), ``places`` (scope, place, keys array).  Distinct tokens meet distinct keys first, so rules that say the same
+    cost one comparison; the links then follow by equality.
+    """
+    said = rules.select(scope, "rule", F.explode("tokens").alias("token")).where("token <> ''")
+    known = places.select(scope, "place", F.explode("keys").alias("key")).where("key <> ''")
+    met = said.select(scope, "token").distinct().join(known.select(scope, "key").distinct(), scope).where(F.contains("key", F.col("token")) | F.contains("token", F.col("key")))
+    return said.join(met, [scope, "token"]).join(known, [scope, "key"]).select(scope, "rule", "place").distinct()

@@ -97,9 +97,16 @@ def candidates(current: DataFrame, draft: DataFrame, key: str = "key", order: li
 
 
 def token_candidates(current: DataFrame, draft: DataFrame, block: list[str], key: str, words: str, k: int = 3) -> DataFrame:
-    """No comparison of sections (that is ``candidates``): top k draft rows of each current row by token similarity alone, among rows that agree on the blocking columns."""
-    left = current.select(*block, F.col(key).alias("current_key"), F.col(words).alias("_a"))
-    right = draft.select(*block, F.col(key).alias("draft_key"), F.col(words).alias("_b"))
-    scored = left.join(right, block).withColumn("similarity", jaccard(F.col("_a"), F.col("_b"))).where("similarity > 0")
-    order = Window.partitionBy("current_key").orderBy(F.desc("similarity"), "draft_key")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("current_key", "draft_key", "similarity", "rank")
+    """No comparison of sections (that is ``candidates``): top k draft rows of each current row by token similarity alone, among rows that agree on the blocking columns.
+
+    Rows with one token set are compared as one: distinct sets meet within a block, each draft set with its k smallest keys, and the best k are handed out to all rows of a current set.
+    """
+    left = current.select(*block, F.col(key).alias("current_key"), F.array_sort(words).alias("_a"))
+    right = draft.select(*block, F.col(key).alias("draft_key"), F.array_sort(words).alias("_b"))
+    first = Window.partitionBy(*block, "_b").orderBy("draft_key")
+    few = right.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k).groupBy(*block, "_b").agg(F.collect_list("draft_key").alias("_keys"))
+    scored = left.select(*block, "_a").distinct().join(few, block).withColumn("similarity", jaccard(F.col("_a"), F.col("_b"))).where("similarity > 0")
+    scored = scored.select(*block, "_a", "similarity", F.explode("_keys").alias("draft_key"))
+    order = Window.partitionBy(*block, "_a").orderBy(F.desc("similarity"), "draft_key")
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return left.join(best, [*block, "_a"]).select("current_key", "draft_key", "similarity", "rank")

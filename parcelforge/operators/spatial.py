@@ -9,11 +9,18 @@ from parcelforge.functions.geo import area, boxes_meet, cells, covers, overlap_a
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
-    """(point_id, polygon_id) of points (point_id, x, y) covered by polygons (polygon_id, ring, box)."""
+    """(point_id, polygon_id) of points (point_id, x, y) covered by polygons (polygon_id, ring, box).
+
+    A box answers for itself: upright rectangles are known once for each polygon, and only other rings are walked for each point.
+    """
+    corner = lambda p: p["x"].isin(F.col("box.x0"), F.col("box.x1")) & p["y"].isin(F.col("box.y0"), F.col("box.y1"))
+    turns = (F.size("ring") == 4) & F.forall("ring", corner) & (F.size(F.array_distinct("ring")) == 4)
+    beside = F.transform("ring", lambda p, i: (p["x"] == F.get("ring", (i + 1) % 4)["x"]) != (p["y"] == F.get("ring", (i + 1) % 4)["y"]))
+    polygons = polygons.withColumn("_plain", F.coalesce(turns & F.forall(beside, lambda b: b), F.lit(False)))
     keyed = points.withColumn("cell", F.struct(F.floor(F.col("x") / size).alias("i"), F.floor(F.col("y") / size).alias("j")))
     tiles = polygons.withColumn("cell", F.explode(cells(F.col("box"), size)))
     near = keyed.join(tiles, "cell").where(F.col("x").between(F.col("box.x0"), F.col("box.x1")) & F.col("y").between(F.col("box.y0"), F.col("box.y1")))
-    return near.where(covers(F.col("ring"), F.col("x"), F.col("y"))).select("point_id", "polygon_id")
+    return near.where(F.col("_plain") | covers(F.col("ring"), F.col("x"), F.col("y"))).select("point_id", "polygon_id")
 
 
 def smallest_containing(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:

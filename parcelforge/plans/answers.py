@@ -56,8 +56,12 @@ def comparison(parcels: DataFrame, current: DataFrame, draft: DataFrame, size: f
 def parcel_by_id(parcels: DataFrame, addresses: DataFrame, zones: DataFrame, parcel_id: object, size: float) -> DataFrame:
     """One parcel with its zone, centroid and the addresses inside it in order of id; no such parcel: no row."""
     one = parcels.where(F.col("parcel_id") == F.lit(parcel_id))
+    box = one.select(shapes.envelope(F.col("shape")).alias("b")).first()  # the request is for one parcel; its box lets scans skip files
+    edge = [float(v) if v is not None else 0.0 for v in (box["b"] if box else (None,) * 4)]
+    within = F.col("x").between(edge[0], edge[2]) & F.col("y").between(edge[1], edge[3])
+    zones = zones.where(boxes_meet(shapes.envelope(F.col("shape")), _box(*edge)))
     # the single parcel, filtered on its key, bounds the broadcast to one row
-    inside = addresses.join(F.broadcast(one), held(F.col("shape"), F.col("x"), F.col("y")))
+    inside = addresses.where(within).join(F.broadcast(one), held(F.col("shape"), F.col("x"), F.col("y")))
     labels = inside.groupBy("parcel_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("address_id", "label"))), lambda s: s["label"]).alias("addresses"))
     found = one.withColumn("centroid", shapes.centroid(F.element_at("shape", 1))).join(zoning(one, zones, size), "parcel_id")
     return found.join(labels, "parcel_id", "left").withColumn("addresses", F.coalesce("addresses", F.array()))
@@ -68,6 +72,9 @@ def parcel_at(parcels: DataFrame, addresses: DataFrame, x: float, y: float) -> D
     box, at = shapes.envelope(F.col("shape")), (F.lit(float(x)), F.lit(float(y)))
     near = parcels.where(boxes_meet(box, _box(x, y, x, y)) & held(F.col("shape"), *at))
     one = near.withColumn("area", shapes.area(F.col("shape"))).orderBy("area", "parcel_id").limit(1)
-    inside = addresses.join(F.broadcast(one.select("parcel_id", "shape")), held(F.col("shape"), F.col("x"), F.col("y")))
+    found = one.select(shapes.envelope(F.col("shape")).alias("b")).first()
+    edge = [float(v) for v in found["b"]] if found else [0.0] * 4
+    within = F.col("x").between(edge[0], edge[2]) & F.col("y").between(edge[1], edge[3])
+    inside = addresses.where(within).join(F.broadcast(one.select("parcel_id", "shape")), held(F.col("shape"), F.col("x"), F.col("y")))
     nearest = inside.groupBy("parcel_id").agg(F.min(F.struct(shapes.distance(F.col("x"), F.col("y"), *at).alias("distance"), "address_id", "label")).alias("address"))
     return one.join(nearest, "parcel_id", "left")
