@@ -112,6 +112,18 @@ def permission_cells(spark, sf_dir):
     return extraction.permission_cells(items, ["p_partkey"], [("R1", 25.0), ("R2", 55.0), ("C1", 85.0)], "oxy", 20.0)
 
 
+#: Lines of a numbered document with their pages, and the outline that they must give.
+_OUTLINE = [(1, "noise"), (1, "12 Uses"), (1, "These:"), (1, "(a) one:"), (2, "(i) deep"), (2, "(ii) deeper"), (2, "(b) two"), (2, "900 metres"), (3, "14A Repealed")]
+_OUTLINED = [("12", "These:"), ("12(a)", "one:"), ("12(a)(i)", "deep"), ("12(a)(ii)", "deeper"), ("12(b)", "two 900 metres"), ("14A", "")]
+
+
+@register("SELECT n_nationkey AS doc, label, text FROM nation, (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _OUTLINED) + ") v(label, text)")
+def fixed_outline(spark, sf_dir):
+    lines = F.array(*[F.struct(F.lit(p).alias("page"), F.lit(i).alias("at"), F.lit(t).alias("line")) for i, (p, t) in enumerate(_OUTLINE)])
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc"), F.inline(lines))
+    return extraction.outline(rows, "doc", "page", "at", "line").select("doc", "label", "text")
+
+
 @register(None)
 def word_lines(spark, sf_dir):
     words = table(spark, sf_dir, "events").select((F.col("event_id") % 97).alias("page"), (F.col("event_id") % 31).cast("double").alias("x"), (F.col("event_id") % 61 * 3).cast("double").alias("y"), F.col("event_type").alias("text"))

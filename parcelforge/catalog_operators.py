@@ -142,3 +142,63 @@ def equivalence_scores(spark, sf_dir):
     total = similarity.score(title, words, body, F.col("p_size") % 2 == 0, F.col("p_size") % 3 == 0)
     name = F.when(k % 3 == 0, "Conditional uses and signs").when(k % 3 == 1, "Of Signs").otherwise("other")
     return table(spark, sf_dir, "part").select("p_partkey", F.round(total, 6).alias("score"), similarity.equivalence(F.least(total, F.lit(0.7)), title, body).alias("kind"), similarity.title_family(name).alias("family"))
+
+
+@register("""SELECT n_regionkey::VARCHAR AS code_table, lower(n_name) AS key, 'c' || max(n_nationkey) OVER (PARTITION BY n_regionkey) AS code FROM nation QUALIFY n_nationkey = max(n_nationkey) OVER (PARTITION BY n_regionkey)
+  UNION ALL SELECT r_regionkey::VARCHAR, 'shared', 'last' FROM region WHERE r_regionkey = (SELECT max(r_regionkey) FROM region)""")
+def code_tables(spark, sf_dir):
+    """Each region is a code table whose entries spell the same two keys; the last entry of all spells one of them too."""
+    entry = lambda code, label: F.struct(code.alias("code"), label.alias("label"), F.lit(None).cast("string").alias("symbol"), F.lit("active").alias("status"))
+    top = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.max(F.struct("n_nationkey", "n_name")).alias("t"))
+    body = F.to_json(F.struct(F.col("n_regionkey").cast("string").alias("code_table"), F.array(
+        entry(F.lit("first"), F.concat(F.lit(" "), F.upper("t.n_name"))), entry(F.concat(F.lit("c"), F.col("t.n_nationkey")), F.col("t.n_name")), entry(F.lit("last"), F.lit("Shared"))).alias("entries")))
+    entries = records.code_entries(top.select(body.alias("payload")), "payload")
+    return records.lookup(entries, "label", ["code_table", "place"]).select("code_table", "key", "code")
+
+
+@register("""WITH s AS (SELECT o_orderkey AS k, count(l_orderkey) AS n, list_sort(list_distinct(list(l_linestatus) FILTER (l_linestatus IS NOT NULL))) AS v FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1),
+  t AS (SELECT l_orderkey AS k, count(*) AS n, list_sort(list_distinct(list(l_linestatus))) AS v FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1)
+  SELECT coalesce(s.k, t.k) AS k, coalesce(s.n, 0) AS source_n, coalesce(t.n, 0) AS target_n, array_to_string(list_sort(list_filter(coalesce(s.v, []), lambda x: NOT list_contains(coalesce(t.v, []), x))), ',') AS missing,
+  array_to_string(list_sort(list_filter(coalesce(t.v, []), lambda x: NOT list_contains(coalesce(s.v, []), x))), ',') AS extra, coalesce(s.n, 0) = coalesce(t.n, 0) AS kept FROM s FULL JOIN t ON s.k = t.k""")
+def source_conservation(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linestatus").alias("v"), "l_returnflag")
+    source = lines.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")), "k")
+    found = records.conservation(source, lines.where("l_returnflag <> 'R'"), "k", "v")
+    return found.select("k", "source_n", "target_n", F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"), "kept")
+
+
+@register("""WITH s AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 3 > 0), c AS (SELECT DISTINCT l_orderkey AS k, l_orderkey || '-' || l_linenumber AS id FROM lineitem SEMI JOIN s ON k = l_orderkey), f AS (SELECT DISTINCT l_partkey AS id FROM lineitem JOIN c ON c.id = l_orderkey || '-' || l_linenumber
+    UNION SELECT p_partkey FROM part WHERE p_partkey % 10 = 0)
+  SELECT 'clause' AS kind, count(*) AS n FROM c UNION ALL SELECT 'fact', count(*) FROM (SELECT id FROM f SEMI JOIN part ON p_partkey = id WHERE id % 10 <> 0 UNION SELECT p_partkey FROM part WHERE p_partkey % 10 = 0)
+  UNION ALL SELECT 'flag', count(*) FROM (SELECT p_partkey FROM part WHERE (p_partkey + 1) IN (SELECT id FROM f SEMI JOIN part ON p_partkey = id WHERE id % 10 <> 0 UNION SELECT p_partkey FROM part WHERE p_partkey % 10 = 0))""")
+def live_cascade(spark, sf_dir):
+    """Sections, their clauses, facts that clauses state, and flags on the next fact; facts of every tenth part name no clause."""
+    sections = table(spark, sf_dir, "orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("section_id"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("section_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), "l_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey")
+    refs = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.collect_set(F.struct(F.lit("clause").alias("kind"), "id")).alias("_r"))
+    none = F.array().cast("array<struct<kind:string,id:string>>")
+    facts = part.join(refs, "p_partkey", "left").select(F.col("p_partkey").alias("id"), F.when((F.col("p_partkey") % 10 == 0), none).otherwise(F.coalesce("_r", F.array(F.struct(F.lit("clause").alias("kind"), F.lit("x").alias("id"))))).alias("refs"))
+    flags = part.select(F.col("p_partkey").alias("id"), F.array(F.struct(F.lit("fact").alias("kind"), (F.col("p_partkey") + 1).cast("string").alias("id"))).alias("refs"))
+    kept = records.cascade(sections, {"clause": lines.select("section_id", "id").distinct()}, {"fact": facts, "flag": flags})
+    return records.type_counts({k: (v.withColumn("_t", F.lit(k)), "_t") for k, v in kept.items()}).select(F.col("type").alias("kind"), "n")
+
+
+_ROW_LABELS = ["Lot area (minimum", "for corners)", "Yard of", "Rear", "fence height", "Signs", "Parking /", "Loading"]
+
+
+@register("""WITH r AS (SELECT user_id, event_id, event_id % 8 AS k, lag(event_id % 8) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events), f AS (SELECT *, CASE WHEN b IN (0, 2, 6) OR (k IN (1, 4) AND b IS NOT NULL) THEN 0 ELSE 1 END AS f FROM r),
+  g AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY event_id) AS "row" FROM f)
+  SELECT user_id, "row"::BIGINT AS "row", string_agg(['Lot area (minimum', 'for corners)', 'Yard of', 'Rear', 'fence height', 'Signs', 'Parking /', 'Loading'][k + 1], ' ' ORDER BY event_id) AS label FROM g GROUP BY ALL""")
+def merged_labels(spark, sf_dir):
+    label = F.element_at(F.array(*[F.lit(v) for v in _ROW_LABELS]), (F.col("event_id") % 8 + 1).cast("int"))
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", label.alias("label"))
+    return extraction.merge_labels(rows, ["user_id"], ["event_id"], "label")
+
+
+@register("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'dot_numeric_provision_labels' WHEN 1 THEN 'parenthesized_alpha_clause_labels' WHEN 2 THEN 'roman_numeral_trailing_parenthesis_clause_labels' END AS pattern,
+  CASE WHEN p_partkey % 4 < 3 THEN trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') END AS label FROM part""")
+def provision_labels(spark, sf_dir):
+    k = F.col("p_partkey") % 4
+    label = F.when(k == 0, ".2").when(k == 1, "(a)").when(k == 2, "iv)").otherwise("section")
+    return table(spark, sf_dir, "part").select("p_partkey", extraction.provision_patterns(label).alias("pattern"), T.canonical_label(F.when(k < 3, F.col("p_name")).otherwise(" - ")).alias("label"))

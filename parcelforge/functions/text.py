@@ -17,6 +17,11 @@ def slugify(c: Column, default: str = "unknown") -> Column:
     return F.when(slug == "", default).otherwise(slug)
 
 
+def canonical_label(c: Column) -> Column:
+    """The key of a label; null where nothing is left."""
+    return F.nullif(norm_key(c), F.lit(""))
+
+
 def norm_text(c: Column) -> Column:
     return norm_key(c, " ")
 

@@ -156,3 +156,55 @@ def merge_rows(rows: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
 def delete_where(rows: DataFrame, condition: Column) -> DataFrame:
     """Rows for which the condition is false or null, as a DELETE leaves them."""
     return rows.where(~F.coalesce(condition, F.lit(False)))
+
+
+def code_entries(documents: DataFrame, payload: str) -> DataFrame:
+    """(code_table, place, code, label, symbol, status) of reviewed code tables, one JSON document each: ``{"code_table": ..., "entries": [{"code": ...}, ...]}``."""
+    entry = "struct<code:string,label:string,symbol:string,status:string>"
+    rows = documents.select(F.from_json(payload, f"struct<code_table:string,entries:array<{entry}>>").alias("_d"))
+    return rows.select("_d.code_table", F.posexplode("_d.entries").alias("place", "_e")).select("code_table", "place", "_e.code", "_e.label", "_e.symbol", "_e.status").where("code is not null")
+
+
+def lookup(entries: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Entries by a key in lower case without blanks around; of entries that spell one key the last by ``order`` counts."""
+    named = entries.withColumn("key", F.lower(F.trim(key))).where("key <> ''")
+    last = Window.partitionBy("key").orderBy(*[F.desc(c) for c in order])
+    return named.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+
+
+def conservation(source: DataFrame, target: DataFrame, scope: str, name: str) -> DataFrame:
+    """(scope, source_n, target_n, missing, extra, kept): rows of both sides by scope and the names that only one has, sorted; ``kept`` where nothing is lost or new."""
+    side = lambda d, n: d.groupBy(scope).agg(F.count(F.lit(1)).alias(f"{n}_n"), F.array_sort(F.collect_set(name)).alias(f"_{n}"))
+    both = side(source, "source").join(side(target, "target"), scope, "full_outer")
+    none = F.array().cast(both.schema["_source"].dataType)
+    a, b = F.coalesce("_source", none), F.coalesce("_target", none)
+    count = lambda n: F.coalesce(f"{n}_n", F.lit(0).cast("long"))
+    rows = both.select(scope, count("source").alias("source_n"), count("target").alias("target_n"), F.array_except(a, b).alias("missing"), F.array_except(b, a).alias("extra"))
+    return rows.withColumn("kept", (F.col("source_n") == F.col("target_n")) & (F.size("missing") == 0) & (F.size("extra") == 0))
+
+
+def cascade(sections: DataFrame, parts: dict[str, DataFrame], facts: dict[str, DataFrame], section: str = "section_id") -> dict[str, DataFrame]:
+    """Parts of the sections that are left, then facts of which a part or section is left; facts without references stay.
+
+    ``parts`` (section_id, id) by kind, ``facts`` (id, refs: array of struct(kind, id)) by family.  A fact that refers to another family's facts is
+    judged after that family, in the order given.
+    """
+    kept = {kind: rows.join(sections.select(section), section, "left_semi") for kind, rows in parts.items()}
+    live = sections.select(F.lit("section").alias("kind"), F.col(section).cast("string").alias("id"))
+    for kind, rows in kept.items():
+        live = live.unionByName(rows.select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id")))
+    for family, rows in facts.items():
+        said = rows.select(F.col("id").alias("_of"), F.explode("refs").alias("_r")).select("_of", F.col("_r.kind").alias("kind"), F.col("_r.id").cast("string").alias("id"))
+        held = said.join(live, ["kind", "id"], "left_semi").select(F.col("_of").alias("id")).distinct().withColumn("_live", F.lit(True))
+        kept[family] = rows.join(held, "id", "left").where(F.col("_live") | (F.size(F.coalesce("refs", F.array().cast(rows.schema["refs"].dataType))) == 0)).drop("_live")
+        live = live.unionByName(kept[family].select(F.lit(family).alias("kind"), F.col("id").cast("string").alias("id")))
+    return kept
+
+
+def type_counts(families: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(family, type, n) of several record families by the column that holds a record's type."""
+    out = None
+    for family, (rows, column) in families.items():
+        one = rows.groupBy(F.col(column).cast("string").alias("type")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(family).alias("family"), "type", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
