@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Encoded pre-tokens kept for reuse (in each of two generations), the longest pre-token kept, and the pairs of tokens whose compatibility is kept: these bound a worker's memory.
-CACHE_ENTRIES, CACHE_PIECE, CACHE_PAIRS = 150_000, 48, 500_000
+CACHE_ENTRIES, CACHE_PIECE, CACHE_PAIRS = 250_000, 64, 1_000_000
 
 
 class ByteBpe:

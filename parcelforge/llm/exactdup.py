@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import mix
-from parcelforge.llm.spill import drop_table, write_table
+from parcelforge.llm.spill import drop_table, result_table, write_table
 
 #: Digests per bucket aimed at; bounds a filter's size and a task's memory.
 BUCKET = 8192
@@ -171,10 +171,14 @@ def deduplicate(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
     split = write_table(split, "op6-classes")
     clash = split.where("texts > 1").count()
     out = _by_bytes(documents, rows, split, classes, id_col, text_col) if clash else rows.join(split, "digest", "left")
-    for table in (grouped, exact, filters, positive, repeated) + (() if clash else (classes,)):
+    for table in (grouped, exact, filters, positive, repeated):
         drop_table(table)
     size = F.coalesce("group_size", F.lit(1)).cast("long")
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), keep.alias("keep_id"), size.alias("group_size"), F.col("id").eqNullSafe(keep).alias("kept"), F.col("digest").alias("text_sha256")
     )
+    out = result_table(out, "op6-result")
+    for table in (rows, split, classes):
+        drop_table(table)
+    return out

@@ -53,6 +53,8 @@ def components(links: DataFrame, *, max_rounds: int = 60) -> DataFrame:
         n, done = _is_stars(edges)
     if not done:
         raise RuntimeError("connected components did not settle")
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
+    out = edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )
+    out._parcelforge_path = edges._parcelforge_path  # for drop_table, once the result has been used
+    return out

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import WORD, gram_hashes, lower, mix, segment, slices, word_hashes
 from parcelforge.llm.graph import components
-from parcelforge.llm.spill import drop_table, write_table
+from parcelforge.llm.spill import drop_table, result_table, write_table
 
 #: 40 bands of 5 registers: a pair of similarity 0.8 meets in no band with probability 1.2e-7.
 BANDS, ROWS = 40, 5
@@ -376,7 +376,9 @@ def near_duplicates(
     tried = write_table(likely(met.join(hubs, "key").where(f"id <> h.id and {close}").select(*ordered("id", "h.id")).distinct()), "op2-tried")
     drop_table(hubs)
     links = verified(tried)
-    labels = write_table(components(links), "op2-labels")
+    found = components(links)
+    labels = write_table(found, "op2-labels")
+    drop_table(found)
     marked = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
     marked = write_table(marked, "op2-marked")
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
@@ -390,7 +392,9 @@ def near_duplicates(
     if not more.isEmpty():  # the later links join whole components
         of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
         between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-        tops = write_table(components(between), "op2-tops")
+        found = components(between)
+        tops = write_table(found, "op2-tops")
+        drop_table(found)
         top = tops.select(F.col("node").alias("component"), F.col("component").alias("_top"))
         alone = tops.withColumnRenamed("component", "_top").join(labels.select("node"), "node", "left_anti")
         joined = labels.join(top, "component", "left").select("node", F.coalesce("_top", "component").alias("component"))
@@ -405,10 +409,14 @@ def near_duplicates(
     )
     out = sketches.drop("regs", "bands").join(whole, ["n", "set_a", "set_b"], "left")
     own = F.when(F.col("n") > 0, _vertex())
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component.id")).otherwise(F.col("id")).alias("component_id"),
         own.eqNullSafe(F.col("component")).alias("kept"),
         *["_carry"] * bool(carry),
     )
+    out = result_table(out, "op2-result")
+    for table in (sketches, classes, labels):
+        drop_table(table)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelforge.llm import bytebpe, chat, exactdup, licences, neardup, packing, repeats, simhash, tokencount, toxicity
-from parcelforge.llm.spill import bounded_batches
+from parcelforge.llm.spill import bounded_batches, result_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(_table(spark, sf_dir, "documents"))
-    return packed.select("sequence_id", "size", "used", F.col("ids").alias("doc_ids"), "pieces", "starts", "offsets", "lengths", F.sha2("content", 256).alias("content_sha256"))
+    return result_table(packed.select("sequence_id", "size", "used", F.col("ids").alias("doc_ids"), "pieces", "starts", "offsets", "lengths", F.sha2("content", 256).alias("content_sha256")), "op7-result")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import WORD, gram_hashes, ragged, segment, slices, word_hashes
-from parcelforge.llm.spill import drop_table, write_table
+from parcelforge.llm.spill import drop_table, result_table, write_table
 
 WINDOW = 50
 SCREEN = 10
@@ -259,4 +259,9 @@ def deduplicate(
     if carry:
         schema += f", _carry {keyed.schema['_carry'].dataType.simpleString()}"
     joined = keyed.join(found, ["_id", "_t"], "left").select("_id", F.col("_text").alias("text"), "whole", "starts", *["_carry"] * bool(carry))
-    return joined.mapInArrow(cut, schema)
+    out = joined.mapInArrow(cut, schema)
+    if with_text:  # as large as the input: not written twice
+        return out
+    out = result_table(out, "op8-result")
+    drop_table(found)
+    return out

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a written result that one task reads.
+RESULT_BYTES = 1 << 27
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -79,6 +81,15 @@ def write_table(df: DataFrame, label: str, *, native: bool = False) -> DataFrame
     return out
 
 
+def result_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a result and read it in parts of about RESULT_BYTES, so that whoever writes it on makes few files; what it was made from may then go."""
+    out = write_table(df, label)
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(out._parcelforge_path)
+    size = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+    return out.coalesce(int(size // RESULT_BYTES) + 1)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
     """At most so many rows in one batch between the JVM and Python, unless the session asks for fewer: bounds the workers' memory with long texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
