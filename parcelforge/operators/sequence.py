@@ -45,18 +45,21 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     the session has a checkpoint folder each round is written there, else kept and the round before released.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels, held = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), None
     durable = edges.sparkSession.sparkContext.getCheckpointDir()
+    both = both.checkpoint() if durable else both.persist()  # the edges may be dear to work out, and every round reads them
+    labels, held = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), None
     for _ in range(rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("low"))
         low = labels.join(near, labels["node"] == near["a"], "left").select("node", "component", F.least("component", F.coalesce("low", "component")).alias("mid"))
         jump = low.select(F.col("node").alias("_n"), F.col("mid").alias("_m"))
         grown = low.join(jump, low["mid"] == jump["_n"], "left").select("node", "component", F.least("mid", F.coalesce("_m", "mid")).alias("new"))
         grown = grown.checkpoint() if durable else grown.persist()
-        done = grown.where("new <> component").isEmpty()
+        moved = grown.where("new <> component").count()  # works out all of it before the round before is released
         if held is not None and not durable:
             held.unpersist()
         held, labels = grown, grown.select("node", F.col("new").alias("component"))
-        if done:
+        if not moved:
+            if not durable:
+                both.unpersist()
             return labels
     raise RuntimeError("components did not settle")

@@ -253,15 +253,20 @@ def merge_diagonals(parcels: DataFrame, size: float, most_parts: int = 4, most:
     groups = components(pairs)
     sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(f"n <= {most_parts}").select("component")
     members = groups.join(sized, "component").withColumnRenamed("node", "parcel_id").join(parcels.select("parcel_id", "shape"), "parcel_id")
-    kind = parcels.schema["parcel_id"].dataType.simpleString()
+    few = members.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("parcel_id", "shape"))).alias("m"))  # at most ``most_parts`` of them
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        whole = overlay.union([_in(s) for s in group["shape"]])
-        ok = len(whole) == 1 and overlay.hull_ratio(whole) <= most
-        ids = sorted(group["parcel_id"])
-        return pd.DataFrame({"parcel_id": [ids[0]], "source_ids": [ids], "shape": [_out(whole)]} if ok else {"parcel_id": [], "source_ids": [], "shape": []})
+    def join(shapes: pa.Array) -> pa.Array:
+        out = []
+        for parts in shapes.to_pylist():
+            whole = overlay.union([_in(s) for s in parts])
+            out.append(_out(whole) if len(whole) == 1 and overlay.hull_ratio(whole) <= most else None)
+        return pa.array(out, _ARROW[SHAPE])
+
+    def merged_shape(shapes: pa.Array) -> pa.Array:
+        return join(shapes)
 
-    merged = members.select("component", "parcel_id", "shape").groupBy("component").applyInPandas(join, f"parcel_id {kind}, source_ids array<{kind}>, shape array<array<array<double>>>")
+    made = few.withColumn("shape", F.arrow_udf(merged_shape, SHAPE)(F.transform("m", lambda x: x["shape"]))).where("shape IS NOT NULL")
+    merged = made.select(F.get("m", F.lit(0))["parcel_id"].alias("parcel_id"), F.transform("m", lambda x: x["parcel_id"]).alias("source_ids"), "shape")
     used = merged.select(F.explode("source_ids").alias("parcel_id"))
     rest = parcels.join(used, "parcel_id", "left_anti").select("parcel_id", F.array("parcel_id").alias("source_ids"), "shape")
     return merged.unionByName(rest)
