@@ -48,19 +48,23 @@ def sample_points(parcels: DataFrame, key: str, box: str) -> DataFrame:
 
 
 def sample(points: DataFrame, pixels: DataFrame, west: float, north: float, size: float) -> DataFrame:
-    """Points with the colour of their pixel, null outside: an equi-join on row and column."""
+    """Points with the colour of their pixel, null outside: an equi-join on row and column.
+
+    Pixels are rows in their millions whose size is guessed from few compressed columns; sorted and merged, no table passes through the driver.
+    """
     row, col = pixel_of(F.col("x"), F.col("y"), west, north, size)
-    return points.withColumns({"row": row, "col": col}).join(pixels, ["row", "col"], "left")
+    return points.withColumns({"row": row, "col": col}).join(pixels.hint("merge"), ["row", "col"], "left")
 
 
 def votes(samples: DataFrame, key: str, code: str, distance: str, order: str, unsure: float = 0.48, sure: float = 0.72) -> DataFrame:
     """Per key the class most samples have (ties: first met), its share of all samples, mean distance and the confidence of both."""
-    counts = samples.where(F.col(code).isNotNull()).groupBy(key, code).agg(F.count(F.lit(1)).alias("matched"), F.avg(distance).alias("mean_distance"), F.min(order).alias("_first"))
-    best = counts.groupBy(key).agg(F.max(F.struct("matched", (-F.col("_first")).alias("_f"), code, "mean_distance")).alias("_b"))
-    total = samples.groupBy(key).agg(F.count(F.lit(1)).alias("samples"))
+    # samples are read once: those without a class are counted as one more of a key's groups, so nothing is joined again
+    counts = samples.groupBy(key, code).agg(F.count(F.lit(1)).alias("matched"), F.avg(distance).alias("mean_distance"), F.min(order).alias("_first"))
+    vote = F.when(F.col(code).isNotNull(), F.struct("matched", (-F.col("_first")).alias("_f"), code, "mean_distance"))
+    best = counts.groupBy(key).agg(F.sum("matched").alias("samples"), F.max(vote).alias("_b"))
     share = F.col("_b.matched") / F.col("samples")
     level = F.when((share >= sure) & (F.col("_b.mean_distance") <= 45), "high").when((share >= unsure) & (F.col("_b.mean_distance") <= 60), "medium").otherwise("low")
-    return total.join(best, key, "left").select(
+    return best.select(
         key, "samples", F.coalesce("_b.matched", F.lit(0)).alias("matched"), F.col(f"_b.{code}").alias(code), share.alias("share"),
         F.col("_b.mean_distance").alias("mean_distance"), level.alias("confidence"),
     )
