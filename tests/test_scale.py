@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from parcelforge.operators import raster
+from parcelforge.functions import overlay
+from parcelforge.operators import raster, shapes
 
 
 def _plan(rows) -> str:
@@ -20,3 +22,19 @@ def test_samples_are_merged_and_read_once(spark):
     assert got == {0: (9, 2, "b", 40.0, "low"), 1: (9, 0, None, None, "low")}
     plan = _plan(voted).split("== Initial Plan ==")[-1]
     assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1
+
+
+def test_union_of_parts_that_stand_apart(monkeypatch):
+    seen = []
+    whole = overlay.overlay
+    monkeypatch.setattr(overlay, "overlay", lambda shapes, keep: seen.append(len(shapes)) or whole(shapes, keep))
+    square = np.array([[0.0, 0], [1, 0], [1, 1], [0, 1]])
+    found = overlay.union([[square + [3 * i + k, 0]] for i in range(50) for k in (0, 1)])
+    assert seen == [2] * 50 and len(found) == 50 and abs(sum(overlay.area([r]) for r in found) - 100) < 1e-9
+
+
+def test_dissolve_takes_equal_shapes_once(spark):
+    square = [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]
+    rows = spark.range(4000).select((F.col("id") % 2).alias("zone"), F.lit(square).cast("array<array<array<double>>>").alias("shape"))
+    made = shapes.dissolve(rows, "zone", 10.0)
+    assert "keys=[zone" in _plan(made) and {(r["zone"], r["a"]) for r in made.select("zone", shapes.area(F.col("shape")).alias("a")).collect()} == {(0, 1.0), (1, 1.0)}
