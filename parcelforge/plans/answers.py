@@ -42,8 +42,11 @@ def feature_collection(features: DataFrame, key: str, properties: list[str]) ->
 
 def zoning(parcels: DataFrame, zones: DataFrame, size: float) -> DataFrame:
     """(parcel_id, zone_id, code, shared): the zone that shares most of each parcel, ties by zone id; parcels outside all zones: nulls."""
-    best = top_k(shapes.overlaps(parcels, zones, size), "parcel_id", [F.desc("shared"), F.asc("zone_id")]).drop("rank")
-    return parcels.select("parcel_id").join(best.join(zones.select("zone_id", "code"), "zone_id"), "parcel_id", "left").select("parcel_id", "zone_id", "code", "shared")
+    # of equal zones the lowest id wins, and equal parcels have one answer: only different shapes are compared
+    lowest = zones.groupBy(F.col("shape").alias("b")).agg(F.min(F.struct("zone_id", "code")).alias("_z"))
+    met = shapes.shape_overlaps(parcels.select(F.col("shape").alias("a")).distinct(), lowest.select("b"), size)
+    best = top_k(met.join(lowest, "b").select("a", "shared", "_z.zone_id", "_z.code"), "a", [F.desc("shared"), F.asc("zone_id")]).drop("rank")
+    return parcels.select("parcel_id", F.col("shape").alias("a")).join(best, "a", "left").select("parcel_id", "zone_id", "code", "shared")
 
 
 def comparison(parcels: DataFrame, current: DataFrame, draft: DataFrame, size: float) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelforge.functions import overlay
 from parcelforge.operators import raster, shapes, spatial
+from parcelforge.plans import answers
 
 
 def _plan(rows) -> str:
@@ -48,3 +49,13 @@ def test_largest_overlap_compares_equal_boxes_once(spark):
     found = spatial.largest_overlap(parcels, zones, 20.0)
     assert found.where("zone_id = 5 AND shared = 16").count() == 3000 and found.count() == 3000
     assert "Aggregate [box" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _many(spark, n: int, name: str):
+    return spark.range(n).select(F.col("id").alias(name), F.lit("Z").alias("code"), shapes.make_envelope(F.lit(0), F.lit(0), F.lit(4), F.lit(4)).alias("shape"))
+
+
+def test_zoning_compares_equal_shapes_once(spark):
+    found = answers.zoning(_many(spark, 3000, "parcel_id"), _many(spark, 2000, "zone_id"), 20.0)
+    assert found.where("zone_id = 0 AND shared = 16").count() == 3000 and found.count() == 3000
+    assert "Aggregate [shape" in found._jdf.queryExecution().optimizedPlan().toString()
