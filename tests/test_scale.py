@@ -59,3 +59,10 @@ def test_zoning_compares_equal_shapes_once(spark):
     found = answers.zoning(_many(spark, 3000, "parcel_id"), _many(spark, 2000, "zone_id"), 20.0)
     assert found.where("zone_id = 0 AND shared = 16").count() == 3000 and found.count() == 3000
     assert "Aggregate [shape" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_comparison_of_many_copies(spark):
+    parcels, zones = _many(spark, 1000, "parcel_id"), _many(spark, 2000, "zone_id")
+    found = answers.comparison(parcels, zones, zones.where("zone_id > 9").withColumn("code", F.lit("Y")), 20.0)
+    assert found.where("current_code = 'Z' AND draft_code = 'Y' AND change = 'changed'").count() == 1000 == found.count()
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [shape") >= 4
