@@ -9,6 +9,7 @@ from parcelforge.functions import classify, measure
 from parcelforge.functions.measure import bind
 from parcelforge.functions.text import norm_key, slugify
 from parcelforge.operators.extraction import in_order, squeeze
+from parcelforge.operators.spatial import expand
 
 #: Words that make a clause with a number a dimensional requirement.
 DIMENSIONAL = ("minimum", "maximum", "height", "yard", "area", "setback", "frontage")
@@ -259,7 +260,10 @@ def area_links(rules: DataFrame, places: DataFrame, scope: str) -> DataFrame:
     ``rules`` (scope, rule, tokens array), ``places`` (scope, place, keys array).  Distinct tokens meet distinct keys first, so rules that say the same
     cost one comparison; the links then follow by equality.
     """
-    said = rules.select(scope, "rule", F.explode("tokens").alias("token")).where("token <> ''")
-    known = places.select(scope, "place", F.explode("keys").alias("key")).where("key <> ''")
-    met = said.select(scope, "token").distinct().join(known.select(scope, "key").distinct(), scope).where(F.contains("key", F.col("token")) | F.contains("token", F.col("key")))
-    return said.join(met, [scope, "token"]).join(known, [scope, "key"]).select(scope, "rule", "place").distinct()
+    # the tokens of a rule or place, as one set, are its class: classes meet first, and the links, which may be very many, follow without a shuffle of their own
+    said = rules.select(scope, "rule", F.explode("tokens").alias("token")).where("token <> ''").groupBy(scope, "rule").agg(F.array_sort(F.collect_set("token")).alias("_tokens"))
+    known = places.select(scope, "place", F.explode("keys").alias("key")).where("key <> ''").groupBy(scope, "place").agg(F.array_sort(F.collect_set("key")).alias("_keys"))
+    token, key = said.select(scope, "_tokens").distinct(), known.select(scope, "_keys").distinct()
+    held = F.exists("_tokens", lambda t: F.exists("_keys", lambda k: F.contains(k, t) | F.contains(t, k)))
+    met = token.join(key, scope).where(held)
+    return expand(said.join(met, [scope, "_tokens"]), known, [scope, "_keys"], "rule").select(scope, "rule", "place")

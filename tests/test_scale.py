@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parcelforge.functions import overlay
-from parcelforge.operators import raster, shapes, spatial
+from parcelforge.operators import raster, records, references, registration, shapes, spatial
 from parcelforge.plans import answers
 
 
@@ -41,7 +41,7 @@ def test_dissolve_takes_equal_shapes_once(spark):
     assert "keys=[zone" in _plan(made) and {(r["zone"], r["a"]) for r in made.select("zone", shapes.area(F.col("shape")).alias("a")).collect()} == {(0, 1.0), (1, 1.0)}
 
 
-_BOX = "named_struct('x0', 0D, 'y0', 0D, 'x1', 4D, 'y1', 4D) AS box"
+_BOX = "named_struct('x0', id % 1 * 1D, 'y0', id % 1 * 1D, 'x1', id % 1 + 4D, 'y1', id % 1 + 4D) AS box"
 
 
 def test_largest_overlap_compares_equal_boxes_once(spark):
@@ -52,7 +52,8 @@ def test_largest_overlap_compares_equal_boxes_once(spark):
 
 
 def _many(spark, n: int, name: str):
-    return spark.range(n).select(F.col("id").alias(name), F.lit("Z").alias("code"), shapes.make_envelope(F.lit(0), F.lit(0), F.lit(4), F.lit(4)).alias("shape"))
+    x = F.col("id") % 1  # 0, but no constant that the optimizer would take out of the grouping
+    return spark.range(n).select(F.col("id").alias(name), F.lit("Z").alias("code"), shapes.make_envelope(x, x, x + 4, x + 4).alias("shape"))
 
 
 def test_zoning_compares_equal_shapes_once(spark):
@@ -66,3 +67,27 @@ def test_comparison_of_many_copies(spark):
     found = answers.comparison(parcels, zones, zones.where("zone_id > 9").withColumn("code", F.lit("Y")), 20.0)
     assert found.where("current_code = 'Z' AND draft_code = 'Y' AND change = 'changed'").count() == 1000 == found.count()
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [shape") >= 4
+
+
+def test_inclusion_as_deep_as_the_chain(spark):
+    found = records.inclusion(spark.range(25).selectExpr("id AS a", "id + 1 AS b"))
+    assert found.count() == 25 * 26 // 2 and found.agg(F.max("depth")).first()[0] == 25
+
+
+def test_area_links_are_not_shuffled(spark):
+    rules = spark.createDataFrame([(1, 1, ["main", "down"]), (1, 1, ["main"]), (1, 2, ["x"]), (2, 3, ["main"]), (1, 4, [""])], "scope int, rule int, tokens array<string>")
+    places = spark.createDataFrame([(1, 7, ["main_east", "down"]), (1, 8, ["own"]), (1, 9, []), (2, 7, ["zone"])], "scope int, place int, keys array<string>")
+    found = references.area_links(rules, places, "scope")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 7), (1, 1, 8)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("Project")
+
+
+def test_zone_matches_are_distinct_without_a_shuffle(spark):
+    zones = spark.createDataFrame([(1, 1, "R1"), (1, 1, "c1"), (1, 2, "r1"), (2, 1, None)], "zone_pk int, bylaw_pk int, zone_code string")
+    bylaws = spark.createDataFrame([(1, '{"community_plan_name":"P"}'), (2, '{"community_plan_name":"P"}'), (3, "{}")], "bylaw_pk int, metadata string")
+    plans = _many(spark, 2, "plan_id").select("plan_id", F.lit("P").alias("plan_name"), F.col("shape").alias("geom"))
+    box = shapes.make_envelope(F.lit(1), F.lit(1), F.lit(2), F.lit(2))
+    bounds = spark.createDataFrame([(5, "r1", None), (5, "C1", None), (6, "X", "d")], "source_feature_id int, zone string, description string").withColumn("geom", box)
+    found = registration.zone_matches(zones, bylaws, plans, bounds, 20.0)
+    assert [tuple(r) for r in found.collect()] == [(1, 5, None, "P")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("Project")
