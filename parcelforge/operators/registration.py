@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelforge.operators import shapes
 from parcelforge.operators.records import merge_rows
+from parcelforge.operators.spatial import expand
 
 
 def row_json(rows: DataFrame, *without: str) -> Column:
@@ -109,5 +110,10 @@ def zone_matches(zones: DataFrame, bylaws: DataFrame, plans: DataFrame, boundari
     met = shapes.overlaps(boundaries.select(F.col("source_feature_id").alias("parcel_id"), F.col("geom").alias("shape")), areas, size)
     met = met.select(F.col("parcel_id").alias("target_feature_id"), F.col("zone_id").alias("plan_id")).join(plans.select("plan_id", "plan_name"), "plan_id")
     coded = boundaries.select(F.col("source_feature_id").alias("target_feature_id"), F.upper("zone").alias("_code"), "description")
-    asked = zones.select("zone_pk", "bylaw_pk", F.upper("zone_code").alias("_code")).join(named, "bylaw_pk")
-    return asked.join(met.join(coded, "target_feature_id"), ["plan_name", "_code"]).select("zone_pk", "target_feature_id", "description", "plan_name").distinct()
+    asked = zones.select("zone_pk", "bylaw_pk", F.upper("zone_code").alias("_code")).join(named, "bylaw_pk").select("zone_pk", "plan_name", "_code").distinct()
+    offered = met.join(coded, "target_feature_id").select("plan_name", "_code", "target_feature_id", "description").distinct()
+    # the codes of a zone or boundary, as one set, are its class: classes meet first, and the pairs, which may be very many, are distinct without a shuffle of their own
+    one = offered.groupBy("target_feature_id", "description", "plan_name").agg(F.array_sort(F.collect_set("_code")).alias("_codes"))
+    sets = asked.groupBy("zone_pk", "plan_name").agg(F.array_sort(F.collect_set("_code")).alias("_asked"))
+    classes = sets.select("plan_name", "_asked").distinct().join(one.select("plan_name", "_codes").distinct(), "plan_name").where(F.arrays_overlap("_asked", "_codes"))
+    return expand(sets.join(classes, ["plan_name", "_asked"]), one, ["plan_name", "_codes"], "zone_pk").select("zone_pk", "target_feature_id", "description", "plan_name")
