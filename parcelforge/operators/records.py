@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,15 +123,15 @@ def content_order(parts: list[tuple[DataFrame, str]], scope: str, order: list[st
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(scope).orderBy(*order, "_k", "id"))).select(scope, "place", "kind", "id")
 
 
-def inclusion(edges: DataFrame, most: int = 20) -> DataFrame:
+def inclusion(edges: DataFrame) -> DataFrame:
     """(root, member, depth, cyclic) along edges (a includes b); a member that already stands on the path closes a cycle and ends it.
 
-    One row per shortest way; ``most`` rounds must suffice, or an error is raised: nothing is cut silently.
+    One row per shortest way.  Rounds go on until one finds nothing new, as deep as the longest shortest way; each finds new pairs or ends, so they end also on cycles.
     """
     step = edges.select(F.col("a").alias("_a"), F.col("b").alias("_b")).distinct()
     front = step.select(F.col("_a").alias("root"), F.col("_b").alias("member"), F.lit(1).alias("depth"), (F.col("_a") == F.col("_b")).alias("cyclic"))
     seen = front
-    for depth in range(2, most + 1):
+    for depth in count(2):
         # a set of pairs per round rather than paths: linear in reachable pairs, also where ways multiply
         grown = front.where("NOT cyclic").join(step, F.col("member") == F.col("_a")).select("root", F.col("_b").alias("member")).distinct()
         fresh = grown.join(seen.select("root", "member"), ["root", "member"], "left_anti")
@@ -138,7 +140,6 @@ def inclusion(edges: DataFrame, most: int = 20) -> DataFrame:
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front)
-    raise RuntimeError("inclusion is deeper than the rounds allowed")
 
 
 def update_by_key(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
