@@ -91,3 +91,25 @@ def test_zone_matches_are_distinct_without_a_shuffle(spark):
     found = registration.zone_matches(zones, bylaws, plans, bounds, 20.0)
     assert [tuple(r) for r in found.collect()] == [(1, 5, None, "P")]
     assert found._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("Project")
+
+
+def test_diagonal_halves_are_merged(spark):
+    rows = spark.range(300).selectExpr("inline(array(named_struct('parcel_id', id * 2, 'shape', array(array(array(id * 30D, 0D), array(id * 30D + 10, 0D), array(id * 30D, 10D)))), named_struct('parcel_id', id * 2 + 1, 'shape', array(array(array(id * 30D + 10, 10D), array(id * 30D, 10D), array(id * 30D + 10, 0D))))))")
+    pairs = shapes.diagonal_pairs(rows, 20.0)
+    assert "Broadcast" not in _plan(pairs) and pairs.where("b = a + 1").count() == 300 == pairs.count()
+    merged = shapes.merge_diagonals(rows, 20.0)
+    assert "Broadcast" not in _plan(merged)
+    assert merged.where("size(source_ids) = 2").count() == 300 == merged.count()
+
+
+def test_halves_in_whole_arrays_are_as_one_by_one():
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 20, (400, 3, 2)).astype(float)
+    b = np.stack([a[:, 2], a[:, 1] + a[:, 2] - a[:, 0] + rng.normal(size=(400, 2)) * (np.arange(400) % 2)[:, None], a[:, 1]], axis=1)
+    rings, known = overlay.union_of_halves(a, b)
+    assert known.sum() > 100
+    for i in np.flatnonzero(known):
+        (whole,) = overlay.union([[a[i]], [b[i]]])
+        assert whole.tolist() == rings[i].tolist()
+    lines = [overlay.is_diagonal(overlay.shared_lines(x, y)) for x, y in zip(a, b, strict=True)]
+    assert 0 < sum(lines) < 400 and overlay.share_diagonal(a, b).tolist() == lines
