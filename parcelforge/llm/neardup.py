@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import WORD, gram_hashes, lower, mix, segment, slices, word_hashes
 from parcelforge.llm.graph import components
-from parcelforge.llm.spill import drop_table, result_table, write_table
+from parcelforge.llm.spill import drop_table, lean, result_table, write_table
 
 #: 40 bands of 5 registers: a pair of similarity 0.8 meets in no band with probability 1.2e-7.
 BANDS, ROWS = 40, 5
@@ -167,7 +167,7 @@ def sketch(documents: DataFrame, *, shingle: int, id_col: str, text_col: str, ca
     more = [F.struct(*carry).alias("_carry")] if carry else []
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *more)
     own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in texts.schema if f.name != "_text")
-    return texts.mapInArrow(run, own + "n bigint, set_a bigint, set_b bigint, regs binary, bands array<bigint>")
+    return texts.mapInArrow(lean(run), own + "n bigint, set_a bigint, set_b bigint, regs binary, bands array<bigint>")
 
 
 def _level(n: Column) -> Column:
@@ -216,7 +216,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame, *, shingle: int, id_c
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     ids = wanted.select(F.col("id.id").alias("_wanted")).distinct()
     texts = texts.join(ids, texts["id"].eqNullSafe(ids["_wanted"]), "left_semi")
-    found = texts.mapInArrow(run, f"id {kind}, digest bigint, part int, shingles array<bigint>")
+    found = texts.mapInArrow(lean(run), f"id {kind}, digest bigint, part int, shingles array<bigint>")
     return found.select(_vertex("id", "digest").alias("id"), "part", "shingles")
 
 
@@ -234,7 +234,7 @@ def _likely(pairs: DataFrame, least: float) -> DataFrame:
             yield batch.filter(pa.array(got >= least)).select(["a", "b"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 def _rare_partners(rows: DataFrame, percent: int) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import buffers, ragged
+from parcelforge.llm.spill import lean
 
 #: Permitted sequence lengths in tokens; a sequence of size s costs s + s*s/KNEE + BIN_COST.
 SIZES = (2048, 4096, 8192, 16384)
@@ -186,4 +187,4 @@ def pack_documents(
         f"sequence_id bigint, size int, used int, ids array<{kind}>, rows array<bigint>, pieces array<int>, starts array<bigint>, offsets array<int>, "
         f"lengths array<int>, content {'array<int>' if tokens_col else 'string'}"
     )
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(lean(run), schema)

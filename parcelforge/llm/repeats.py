@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import WORD, gram_hashes, ragged, segment, slices, word_hashes
-from parcelforge.llm.spill import drop_table, result_table, write_table
+from parcelforge.llm.spill import drop_table, lean, result_table, write_table
 
 WINDOW = 50
 SCREEN = 10
@@ -98,7 +98,7 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
     least = write_table(least, "op8-least")
     copies = write_table(digests.join(least, "digest").where("_id > least").select("_id", "_t").distinct(), "op8-copies")
 
-    choices = keyed.mapInArrow(screen, f"_id {kind}, _t bigint, place int, choice bigint")
+    choices = keyed.mapInArrow(lean(screen), f"_id {kind}, _t bigint, place int, choice bigint")
     choices = write_table(choices.join(copies, ["_id", "_t"], "left_anti"), "op8-choices")
     shared = choices.groupBy("choice").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("choice")
     shared = write_table(shared, "op8-shared")
@@ -172,7 +172,7 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
     places = write_table(places, "op8-places")
     near = keyed.join(places, ["_id", "_t"]).select("_id", "_t", "_text", "places")
     # 32 bits of a block's hash do for a probe: a false hit costs one window more, whose 128-bit hash decides
-    rolling = write_table(near.select("_id", "_text", "places").mapInArrow(probe, f"_id {kind}, place int, block int"), "op8-probes")
+    rolling = write_table(near.select("_id", "_text", "places"), "op8-probes", through=(probe, f"_id {kind}, place int, block int"))
     drop_table(choices)
     # the index holds the non-overlapping blocks of the documents with the smallest document of each; every rolling window probes it
     index = rolling.where(F.col("place") % block == 0).groupBy("block").agg(F.min("_id").alias("ref"))
@@ -183,7 +183,7 @@ def repeat_starts(documents: DataFrame, *, window: int = WINDOW, id_col: str = "
     for table in (rolling, index, anchors, shared, least):
         drop_table(table)
     near = keyed.join(places.join(hits, "_id"), ["_id", "_t"]).select("_id", "_t", "_text", "places", "hits")
-    extended = write_table(near.mapInArrow(extend, f"_id {kind}, _t bigint, place int, run_a bigint, run_b bigint"), "op8-runs")
+    extended = write_table(near, "op8-runs", through=(extend, f"_id {kind}, _t bigint, place int, run_a bigint, run_b bigint"))
     firsts = extended.groupBy("run_a", "run_b").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high")
     firsts = write_table(firsts, "op8-firsts")
     found = extended.join(firsts, ["run_a", "run_b"]).where("_id > low").groupBy("_id", "_t").agg(F.collect_list("place").alias("starts"))
@@ -259,7 +259,7 @@ def deduplicate(
     if carry:
         schema += f", _carry {keyed.schema['_carry'].dataType.simpleString()}"
     joined = keyed.join(found, ["_id", "_t"], "left").select("_id", F.col("_text").alias("text"), "whole", "starts", *["_carry"] * bool(carry))
-    out = joined.mapInArrow(cut, schema)
+    out = joined.mapInArrow(lean(cut), schema)
     if with_text:  # as large as the input: not written twice
         return out
     out = result_table(out, "op8-result")

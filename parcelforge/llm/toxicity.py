@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelforge.llm.arrowtext import ALNUM, _BYTE_VALUES, lower, ragged, segment, slices, span_hash, word_hashes
+from parcelforge.llm.spill import lean
 
 #: Words of a window, words between the starts of neighbours when scoring, and when training.
 WIDTH, STRIDE, TRAINING_STRIDE = 32, 8, 16
@@ -331,4 +332,4 @@ def score(documents: DataFrame, network: Network, *, text_col: str = "text", sco
                 yield pa.RecordBatch.from_arrays([*rows.columns, got], names=[*rows.schema.names, score_col])
 
     schema = documents.select("*", F.lit(0.0).alias(score_col)).schema
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(lean(run), schema)
