@@ -89,11 +89,15 @@ def dissolve(spark, sf_dir):
 @register("""SELECT s_suppkey, 78.0::DOUBLE AS cut, 66.0::DOUBLE AS rest, 4 * 4.0::DOUBLE AS inner_area, 144.0::DOUBLE AS hull_area, true AS valid FROM supplier""")
 def overlay_areas(spark, sf_dir):
     rows = _zones(spark, sf_dir).select(F.col("zone_id").alias("s_suppkey"), "shape")
-    corner = F.element_at(F.element_at("shape", 1), 1)
-    other = shapes.make_envelope(corner[0] - 1, corner[1] - 1, corner[0] + 6.5, corner[1] + 30)
     area = lambda s: F.round(shapes.area(s), 6)
-    rows = rows.withColumns({"a": shapes.intersection(F.col("shape"), other), "b": shapes.difference(F.col("shape"), other), "c": shapes.buffer(F.col("shape"), -4.0), "d": shapes.hull(F.col("shape"))})
-    return rows.select("s_suppkey", area(F.col("a")).alias("cut"), area(F.col("b")).alias("rest"), area(F.col("c")).alias("inner_area"), area(F.col("d")).alias("hull_area"), shapes.is_valid(F.col("shape")).alias("valid"))
+
+    def made(rows):
+        corner = F.element_at(F.element_at("shape", 1), 1)
+        other = shapes.make_envelope(corner[0] - 1, corner[1] - 1, corner[0] + 6.5, corner[1] + 30)
+        rows = rows.withColumns({"a": shapes.intersection(F.col("shape"), other), "b": shapes.difference(F.col("shape"), other), "c": shapes.buffer(F.col("shape"), -4.0), "d": shapes.hull(F.col("shape"))})
+        return rows.select("shape", area(F.col("a")).alias("cut"), area(F.col("b")).alias("rest"), area(F.col("c")).alias("inner_area"), area(F.col("d")).alias("hull_area"), shapes.is_valid(F.col("shape")).alias("valid"))
+
+    return shapes.once_per_shape(rows, "shape", made).select("s_suppkey", "cut", "rest", "inner_area", "hull_area", "valid")
 
 
 @register("""SELECT s_suppkey AS sheet, 3 AS faces, ((12 + s_suppkey % 5) * 7.0)::DOUBLE AS area FROM supplier""")

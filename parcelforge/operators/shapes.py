@@ -132,6 +132,17 @@ def area(shape: Column) -> Column:
     return F.when(F.size(shape) == 1, geo.area(ring(F.get(shape, F.lit(0))))).otherwise(several)
 
 
+def once_per_shape(rows: DataFrame, shape: str, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` with the columns that ``made`` adds to a table of the shapes alone: equal shapes are worked out once, and different ones are dealt over the tasks by their values.
+
+    ``made`` gets the different shapes as the column ``shape`` and keeps it, one row each; null is one of them.  The rows meet the results by a merged join.
+    """
+    known = made(rows.select(shape).distinct())
+    added = [F.col(c) for c in known.columns if c != shape]
+    known = known.select(F.col(shape).alias("_shape"), *added)
+    return rows.join(known.hint("merge"), F.col(shape).eqNullSafe(F.col("_shape")), "left").drop("_shape")
+
+
 def envelope(shape: Column) -> Column:
     """struct(x0, y0, x1, y1); nulls for an empty shape."""
     points = F.flatten(shape)

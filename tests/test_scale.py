@@ -113,3 +113,19 @@ def test_halves_in_whole_arrays_are_as_one_by_one():
         assert whole.tolist() == rings[i].tolist()
     lines = [overlay.is_diagonal(overlay.shared_lines(x, y)) for x, y in zip(a, b, strict=True)]
     assert 0 < sum(lines) < 400 and overlay.share_diagonal(a, b).tolist() == lines
+
+
+def test_equal_shapes_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def corner(shape):
+        seen.add(1)
+        return shape[0][1][0] if shape else None
+
+    rows = _many(spark, 2000, "id").select("id", F.when(F.col("id") % 4 > 0, F.col("shape")).alias("shape")).persist()
+    found = shapes.once_per_shape(rows, "shape", lambda one: one.withColumn("x", corner("shape")))
+    assert found.columns == ["id", "shape", "x"]
+    assert {(r["x"], r["n"]) for r in found.groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()} == {(None, 500), (4.0, 1500)}
+    assert seen.value == 2
+    rows.unpersist()
