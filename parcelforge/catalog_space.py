@@ -33,7 +33,7 @@ def _points(spark, sf_dir):
 
 @register(f"WITH {_MET} SELECT parcel_id, zone_id, round(shared, 6) AS shared FROM m")
 def polygon_overlaps(spark, sf_dir):
-    return shapes.overlaps(_parcels(spark, sf_dir), _zones(spark, sf_dir), 20.0).withColumn("shared", F.round("shared", 6))
+    return shapes.overlaps(_parcels(spark, sf_dir), _zones(spark, sf_dir), 20.0, 6)
 
 
 @register(f"""WITH {_MET}, b AS ({_BEST}) SELECT p.parcel_id, 'Z' || zone_id % 3 AS code, round(shared, 6) AS shared FROM p LEFT JOIN b ON p.parcel_id = b.parcel_id AND rn = 1""")

@@ -311,13 +311,31 @@ def geojson(shape: Column, digits: int = 9) -> Column:
     return F.when(shape.isNotNull(), F.to_json(F.struct(F.lit("Polygon").alias("type"), closed.alias("coordinates"))))
 
 
-def overlaps(parcels: DataFrame, zones: DataFrame, size: float) -> DataFrame:
-    """(parcel_id, zone_id, shared) of all parcels and zones (id, shape) that meet; pairs that only touch have shared 0.
+def overlaps(parcels: DataFrame, zones: DataFrame, size: float, digits: int | None = None) -> DataFrame:
+    """(parcel_id, zone_id, shared) of all parcels and zones (id, shape) that meet; pairs that only touch have shared 0.  ``digits`` rounds the area, once for each pair of lists.
 
-    Every pair is compared for itself; ``shape_overlaps`` also serves callers that need different shapes only.
+    Equal shapes are compared as lists of ids (``id_lists``); pairs of lists are dealt evenly over all tasks and expanded there, so no task's share hangs on how the tables were stored.
     """
-    left, right = parcels.select("parcel_id", F.col("shape").alias("a")), zones.select("zone_id", F.col("shape").alias("b"))
-    return shape_overlaps(left, right, size, ("parcel_id", "zone_id"))
+    left, right = id_lists(parcels.withColumnRenamed("shape", "a"), "parcel_id", "a"), id_lists(zones.withColumnRenamed("shape", "b"), "zone_id", "b")
+    met = shape_overlaps(left, right.hint("merge"), size, ("parcel_id", "zone_id"))
+    if digits is not None:
+        met = met.withColumn("shared", F.round("shared", digits))
+    tasks = int(parcels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the number is given: by their bytes, adaptive execution would put the lists into a few tasks, whatever they expand to
+    return met.repartition(tasks).withColumn("zone_id", F.explode("zone_id")).withColumn("parcel_id", F.explode("parcel_id")).select("parcel_id", "zone_id", "shared")
+
+
+def id_lists(rows: DataFrame, key: str, shape: str, most: int = 256, parts: int = 16) -> DataFrame:
+    """(key, shape): the ids of equal shapes as lists in the column ``key``, of about ``most`` where they have more; a null id is kept.
+
+    Lists stay short because Spark holds all that one row expands to.  Shapes of many ids are few: only they are looked up, and each of them is dealt over ``parts``.
+    """
+    many = rows.groupBy(F.col(shape).alias("_shape")).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {most}").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    own = F.xxhash64(key)
+    dealt = rows.select(key, shape, F.pmod(own, F.lit(parts)).cast("int").alias("_own"))
+    dealt = dealt.join(many.hint("merge"), (F.col(shape) == F.col("_shape")) & (F.col("_own") == F.col("_part")), "left")
+    at = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(F.pmod(own, F.ceil(F.col("_n") / most)))
+    return dealt.groupBy(shape, at.alias("_list")).agg(F.transform(F.collect_list(F.struct(key)), lambda x: x[key]).alias(key)).drop("_list")
 
 
 def shape_overlaps(left: DataFrame, right: DataFrame, size: float, names: tuple[str, str] = ("a", "b")) -> DataFrame:

@@ -129,3 +129,21 @@ def test_equal_shapes_are_worked_out_once(spark):
     assert {(r["x"], r["n"]) for r in found.groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()} == {(None, 500), (4.0, 1500)}
     assert seen.value == 2
     rows.unpersist()
+
+
+def test_overlaps_of_copies_are_expanded_by_all_tasks(spark):
+    box = shapes.make_envelope(F.lit(0), F.lit(0), F.lit(4), F.lit(4))
+    beside = shapes.make_envelope(F.lit(4), F.lit(0), F.lit(7), F.lit(1.23456))
+    # one stored part each; of the ids, one is null and one stands twice
+    parcels = spark.range(0, 700, 1, 1).select(F.when(F.col("id") > 0, F.greatest("id", F.lit(2))).alias("parcel_id"), box.alias("shape"))
+    zones = spark.range(0, 600, 1, 1).select(F.col("id").alias("zone_id"), F.when(F.col("id") % 2 == 0, box).otherwise(beside).alias("shape"))
+    met = shapes.overlaps(parcels, zones, 3.0)
+    got = met.groupBy("parcel_id", "zone_id", "shared").count().collect()
+    times = {(r["parcel_id"], r["zone_id"], r["shared"]): r["count"] for r in got}
+    assert times == {(i or None, z, 0.0 if z % 2 else 16.0): 2 if i == 2 else 1 for i in [0, *range(2, 700)] for z in range(600)}
+    tasks = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 4 and max(tasks) < 700 * 600 / 2
+    lists = shapes.id_lists(parcels, "parcel_id", "shape", 100).select(F.size("parcel_id").alias("n")).collect()
+    assert sum(r["n"] for r in lists) == 700 and len(lists) == 7 and max(r["n"] for r in lists) < 200
+    wide = zones.select("zone_id", shapes.make_envelope(F.lit(1 / 3), F.lit(0), F.lit(3), F.lit(1)).alias("shape"))
+    assert {r["shared"] for r in shapes.overlaps(parcels, wide, 3.0, 2).collect()} == {2.67}
