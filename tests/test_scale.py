@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parcelforge.functions import overlay
-from parcelforge.operators import raster, records, references, registration, shapes, spatial
-from parcelforge.plans import answers
+from parcelforge.operators import raster, records, references, registration, sequence, shapes, spatial
+from parcelforge.plans import answers, views
 
 
 def _plan(rows) -> str:
@@ -147,3 +147,25 @@ def test_overlaps_of_copies_are_expanded_by_all_tasks(spark):
     assert sum(r["n"] for r in lists) == 700 and len(lists) == 7 and max(r["n"] for r in lists) < 200
     wide = zones.select("zone_id", shapes.make_envelope(F.lit(1 / 3), F.lit(0), F.lit(3), F.lit(1)).alias("shape"))
     assert {r["shared"] for r in shapes.overlaps(parcels, wide, 3.0, 2).collect()} == {2.67}
+
+
+def test_conflicts_of_one_group_are_expanded_by_all_tasks(spark):
+    k = F.col("id")
+    uses = spark.range(0, 1200, 1, 1).select(
+        F.when(k < 1199, k).alias("rule_atom_pk"), F.when(k % 3 == 0, "use_prohibition").otherwise("principal_use").alias("rule_type"), F.when(k % 2 == 0, "Shop").otherwise(" shop ").alias("use_name"),
+        F.when(k % 3 == 0, "prohibited").otherwise("permitted").alias("rule_intent"), F.lit("shop").alias("use_name_normalized"), F.lit("b").alias("bylaw_slug"), F.lit("z").alias("zone_code"),
+        F.lit(5).alias("target_feature_id"), F.when(k % 5 > 0, "edge").alias("target_description"), shapes.make_envelope(k % 2, F.lit(0), F.lit(4), F.lit(4)).alias("geom"),
+    )
+    # a rule that stands twice pairs twice, one that both permits and prohibits not with itself, one without a key not at all
+    more = uses.where("rule_atom_pk IN (1, 3)").withColumn("rule_intent", F.lit("permitted"))
+    found = views.use_conflicts(uses.unionByName(more))
+    pairs = found.groupBy("permitted_rule_atom_pk", "prohibited_rule_atom_pk").count().collect()
+    permitted, prohibited = [i for i in range(1199) if i % 3] + [3], range(0, 1199, 3)
+    times = {(r["permitted_rule_atom_pk"], r["prohibited_rule_atom_pk"]): r["count"] for r in pairs}
+    assert times == {(p, x): 2 if p == 1 else 1 for p in permitted for x in prohibited if p != x}
+    wrong = "permitted_use_name <> IF(permitted_rule_atom_pk % 2 = 0, 'Shop', ' shop ') OR NOT target_description <=> IF(permitted_rule_atom_pk % 5 > 0, 'edge', NULL) OR geom[0][0][0] <> permitted_rule_atom_pk % 2"
+    assert found.where(f"{wrong} OR prohibited_use_name <> IF(prohibited_rule_atom_pk % 2 = 0, 'Shop', ' shop ') OR prohibited_rule_type <> 'use_prohibition'").count() == 0
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 4 and max(tasks) < sum(tasks) / 2
+    lists = sequence.key_lists(uses.select("rule_atom_pk", "rule_intent"), "rule_atom_pk", 100).select(F.size("rule_atom_pk").alias("n")).collect()
+    assert sum(r["n"] for r in lists) == 1199 and len(lists) <= 13 and max(r["n"] for r in lists) <= 100
